@@ -63,7 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in every}
 
 
-_WORDS1 = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+_WORDS1 = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 OP1_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS1} AS w FROM documents),
@@ -95,7 +95,7 @@ OP6_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 o AS (SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS owner FROM p)
 SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(((('0x' || substr(x, 1 + 5 * CAST(i // 4 AS INT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(((('0x' || substr(x, 1 + 5 * CAST(i // 4 AS INT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
   CASE WHEN page_id IS NULL OR page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id IS NULL OR page_id = owner THEN NULL ELSE owner END AS refers_to
 FROM o
@@ -106,7 +106,7 @@ _FAILED_SQL = " + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, (_,
 
 OP10_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 g AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS s FROM w, unnest(range(1, greatest(len(w) - 3, 1))) t(i)),
 k AS (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM g),
 c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM k WHERE n > 1) GROUP BY r),
