@@ -81,13 +81,12 @@ def paths(nodes: DataFrame) -> DataFrame:
     """(conv, leaf, node, up): each node of each root-to-leaf path, ``up`` steps above the leaf. ``nodes``: conv, node, parent."""
     links = nodes.select("conv", "node", "parent")
     inner = links.where("parent is not null").select("conv", F.col("parent").alias("node")).distinct()
-    known = links.join(inner, ["conv", "node"], "left_anti").select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"))
+    known = stage(links.join(inner, ["conv", "node"], "left_anti").select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "leaves")
     jumps = links.where("parent is not null").withColumnRenamed("parent", "to")
     step = 1
     while True:
-        more = known.join(jumps, ["conv", "node"], "left")
-        both = F.when(F.col("to").isNull(), F.array(F.struct("node", "up"))).otherwise(F.array(F.struct("node", "up"), F.struct(F.col("to").alias("node"), (F.col("up") + step).alias("up"))))
-        known = stage(more.select("conv", "leaf", F.explode(both).alias("x")).select("conv", "leaf", "x.node", "x.up"), "paths")
+        above = known.join(jumps, ["conv", "node"]).select("conv", "leaf", F.col("to").alias("node"), (F.col("up") + step).alias("up"))
+        known = stage(known.union(above), "paths")
         far = jumps.select("conv", "node", F.col("to").alias("mid")).join(jumps.select("conv", F.col("node").alias("mid"), "to"), ["conv", "mid"])
         jumps = stage(far.select("conv", "node", "to"), "jumps")
         step *= 2

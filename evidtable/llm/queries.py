@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, compression_quality, decontaminate, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, warc
-from .common import table
+from .common import stage, table
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -28,7 +28,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], rows.schema)
-    return chat.read_back(chat.format_trees(chat.linear_nodes(rows.unionByName(own))))
+    return chat.read_back(stage(chat.format_trees(chat.linear_nodes(rows.unionByName(own))), "formatted"))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
