@@ -13,7 +13,7 @@ doc_id is packed like any other; an empty table gives an empty result; other col
 
 from __future__ import annotations
 
-import json
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, stage
+from .token_counts import byte_letters
 
 VOCABULARY = "word_bpe_49k.json"
 LENGTH = 4096
@@ -33,7 +34,51 @@ OPEN_BINS = 256
 FULL_ENOUGH = 0.995
 #: So many packers of the first round share one of the second.
 SHARED_BY = 16
-REMEMBERED = 400_000
+#: Runs and words (some 200 bytes each) of a generation; a worker remembers two, and what is asked for passes into the younger.
+REMEMBERED = 450_000
+_LETTERS = {b: c for c, b in byte_letters().items()}
+_ENDS = ".,!?;:#$%&*|)"
+
+
+class Known(dict):
+    """Ids of runs of non-space, filled as they are asked for.
+
+    A run of letters with ASCII punctuation behind it is two pre-tokens at least, cut between the letters and the rest,
+    and case doesn't count: most new runs are a known word with another end.
+    """
+
+    def __init__(self, tokenizer: object, old: Known | None = None) -> None:
+        super().__init__({"": b""})
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = dict(old or {})  # what the generation before knew
+        self.old_words: dict[str, bytes] = old.words if old else {}
+
+    def _ids(self, run: str) -> bytes:
+        ids = self.tokenizer.encode(run, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word_ids(self, low: str) -> bytes:
+        """Ids of one lower-case word of composed letters: the normalizer leaves it and the pre-tokenizer only maps its bytes."""
+        ids = [t.id for t in self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(_LETTERS))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, run: str) -> bytes:
+        if (ids := self.old.get(run)) is not None:
+            self[run] = ids
+            return ids
+        word = run.rstrip(_ENDS)
+        low = word.lower()
+        if low.isalpha() and max(low) < "\u0250":
+            ids = self.words.get(low)
+            if ids is None:
+                ids = self.words[low] = self.old_words.get(low) or self._word_ids(low)
+            if len(word) < len(run):
+                ids += self[run[len(word) :]]
+        else:
+            ids = self._ids(run)
+        self[run] = ids
+        return ids
 
 
 class Encoder:
@@ -46,20 +91,14 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            text = f.read()
-        self.tokenizer = Tokenizer.from_str(text)
-        self.special = [t["content"] for t in json.loads(text)["added_tokens"]]
-        self.known: dict[str, bytes] = {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known = Known(self.tokenizer)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        runs = [t.replace("\n", " ").split(" ") for t in texts]
-        if todo := sorted({r for x in runs for r in x if r not in self.known}):
-            for r, e in zip(todo, self.tokenizer.encode_batch(todo, add_special_tokens=False), strict=True):
-                self.known[r] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, x)) for x in runs]
+        if len(self.known) + len(self.known.words) > REMEMBERED:
+            self.known = Known(self.tokenizer, self.known)
+        get = self.known.__getitem__
+        return [b"".join(map(get, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 @lru_cache(maxsize=2)
