@@ -84,7 +84,9 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     mask = F.lit(0).cast("long")
     for i, (_, rule) in enumerate(RULES):
         mask = mask.bitwiseOR(F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-    return found.withColumn("failed", mask)
+    entry = F.struct(*[F.col(m) for m in MEASURES], mask.alias("failed"))
+    # a generator, so that a later filter on the mask isn't pushed below and every rule and measurement evaluated again for it
+    return found.select("row", F.explode(F.array(entry)).alias("entry")).select("row", "entry.*")
 
 
 def apply_policy(found: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:

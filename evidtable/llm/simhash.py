@@ -171,5 +171,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
     found = components(docs)
     kept = stage(found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"))
-    known = packed.where("_id is not null").join(kept.withColumnRenamed("doc_id", "_id"), "_id", "left_semi")
+    # the ids kept grow with the input: merged, never broadcast
+    known = packed.where("_id is not null").join(kept.withColumnRenamed("doc_id", "_id").hint("merge"), "_id", "left_semi")
     return known.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))
