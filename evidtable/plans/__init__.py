@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from . import corpus, measurements
+
 
 def queries() -> dict:
-    return {}
+    return {**measurements.QUERIES, **corpus.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**measurements.SQL, **corpus.SQL}
