@@ -64,7 +64,9 @@ def min_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     label's own label, so the rounds follow the logarithm of a component's diameter. Every round is a staged table:
     a join reads plain scans on both sides, so adaptive execution can split a hot neighbour.
     """
-    both = stage(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    # both directions from one reading of a link: were links made twice, the two readings could differ in what spans a group
+    ways = F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = stage(edges.where("a <> b").select(ways.alias("e")).select("e.a", "e.b").distinct(), "edges")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels0")
     for n in range(1, max_rounds + 1):
         near = (

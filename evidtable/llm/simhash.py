@@ -130,7 +130,8 @@ def links(distinct: DataFrame) -> DataFrame:
     fp = F.col("fp")
     shards = F.array(*[F.struct(F.lit(i).alias("tree"), fp.bitwiseAND(F.lit(_signed(m))).alias("shard")) for i, m in enumerate(_masks())])
     placed = distinct.select(F.explode(shards).alias("s"), "fp", "id").select("s.tree", "s.shard", "fp", "id")
-    placed = placed.repartition("tree", "shard").sortWithinPartitions("tree", "shard")
+    # sorted to the last column: a task that runs again after a lost executor makes the same links
+    placed = placed.repartition("tree", "shard").sortWithinPartitions("tree", "shard", "fp")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
