@@ -50,7 +50,7 @@ def absolute_url(url: Column, base: str) -> Column:
 
 def page_ranges(c: Column) -> Column:
     """Pages of a text like 3-5,9: sorted, distinct; what isn't a range is left out."""
-    parts = F.filter(F.transform(F.split(c, ","), F.trim), lambda p: p.rlike("^[0-9]{1,6}( *- *[0-9]{1,6})?$"))
+    parts = F.filter(F.transform(F.split(c, ","), lambda p: F.trim(p)), lambda p: p.rlike("^[0-9]{1,6}( *- *[0-9]{1,6})?$"))
     bounds = F.transform(parts, lambda p: F.struct(F.regexp_extract(p, "^([0-9]+)", 1).cast("int").alias("a"), F.regexp_extract(p, "([0-9]+)$", 1).cast("int").alias("z")))
     return F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(bounds, lambda b: b["a"] <= b["z"]), lambda b: F.sequence(b["a"], b["z"])))))
 
@@ -61,7 +61,7 @@ def first_integer(c: Column) -> Column:
 
 def reconstruct_header(fragments: Column) -> Column:
     """Header fragments joined by spaces; a fragment that ends in a hyphen takes the next one without a space."""
-    clean = F.filter(F.transform(fragments, collapse), lambda f: f != "")
+    clean = F.filter(F.transform(fragments, lambda f: collapse(f)), lambda f: f != "")
     return F.aggregate(clean, F.lit(""), lambda acc, f: F.when(acc == "", f).when(acc.endswith("-"), F.concat(F.substring(acc, F.lit(1), F.length(acc) - 1), f)).otherwise(F.concat(acc, F.lit(" "), f)))
 
 
@@ -77,13 +77,13 @@ def clean_ocr_name(c: Column) -> Column:
 
 def split_pair(c: Column) -> Column:
     """struct(first, n) of a name that lists enantiomers with an ampersand."""
-    parts = F.filter(F.transform(F.split(c, "&"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(c, "&"), lambda p: F.trim(p)), lambda p: p != "")
     return F.struct(F.try_element_at(parts, F.lit(1)).alias("first"), F.size(parts).alias("n"))
 
 
 def mentioned_ids(c: Column) -> Column:
     """Every id that a text calls ``compound <id>``, distinct."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"\bcompound\s+([a-z0-9]+)\b"), 1), F.trim))
+    return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"\bcompound\s+([a-z0-9]+)\b"), 1))
 
 
 def cross_references(c: Column) -> Column:
