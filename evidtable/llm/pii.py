@@ -147,15 +147,12 @@ def learn_patterns(docs: DataFrame, rounds: int = ROUNDS) -> list[str]:
     total = graph.agg(F.sum("n")).first()[0] or 0
     lexical = graph.where(F.col("pattern").rlike("\\p{L}"))
     wide = stage(lexical.groupBy("pattern").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where((F.col("k") >= MIN_INSTANCES) & (F.col("n") >= MIN_SHARE * total)), "wide")
-    linked = stage(graph.join(wide.select("pattern"), "pattern", "left_semi"), "linked")
-    seeds = graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("fixed"))
-    known = stage(linked.select("instance").distinct().join(seeds, "instance"), "seeds")
-    scores = known.withColumnRenamed("fixed", "score")
-    patterns = None
-    for n in range(rounds):
+    fixed = graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("fixed"))
+    linked = stage(graph.join(wide.select("pattern"), "pattern", "left_semi").select("pattern", "instance").join(fixed, "instance"), "linked")
+    patterns = stage(linked.groupBy("pattern").agg(F.avg("fixed").alias("p")), "patterns0")
+    for n in range(1, rounds):
+        scores = stage(linked.join(patterns, "pattern").groupBy("instance").agg(F.max(F.greatest("fixed", "p")).alias("score")), f"scores{n}")
         patterns = stage(linked.join(scores, "instance").groupBy("pattern").agg(F.avg("score").alias("p")), f"patterns{n}")
-        best = stage(linked.join(patterns, "pattern").groupBy("instance").agg(F.max("p").alias("p")), f"best{n}")
-        scores = stage(known.join(best, "instance", "left").select("instance", F.greatest("fixed", F.coalesce("p", F.lit(0.0))).alias("score")), f"scores{n}")
     return sorted(r["pattern"] for r in patterns.where(F.col("p") >= MIN_SCORE).select("pattern").collect())
 
 
@@ -216,4 +213,4 @@ def redact(docs: DataFrame, accepted: list[str] | None = None) -> DataFrame:
             cols[at] = pa.array([redacted(x, known.value) for x in b.column(at).to_pylist()], b.schema.types[at])
             yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_arrow(docs, work, docs.schema)
