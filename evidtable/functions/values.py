@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,12 +24,20 @@ def lookup(key: Column, table: dict, default: Column | None = None) -> Column:
     return found if default is None else F.coalesce(found, default)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), lambda v: use(v)), 1)
+
+
 def normalize_units(raw: Column) -> Column:
     """Canonical unit or null: M, mM, uM, nM, nm, %."""
     t = F.trim(F.regexp_replace(F.trim(F.regexp_replace(F.trim(raw), r"^[()\[\]{}]+|[()\[\]{}]+$", "")), r"[.,;:]+$", ""))
-    t = F.translate(t, "µμ", "uu")
-    molar = lookup(F.lower(F.substring(t, F.lit(1), F.greatest(F.length(t) - 1, F.lit(0)))), PREFIXES)
-    return F.when(t.isNull() | (t == ""), F.lit(None)).when(t.isin("nm", "%"), t).when(t.endswith("M"), molar).otherwise(lookup(F.lower(t), UNIT_WORDS))
+
+    def known(u: Column) -> Column:
+        molar = lookup(F.lower(F.substring(u, F.lit(1), F.greatest(F.length(u) - 1, F.lit(0)))), PREFIXES)
+        return F.when(u.isNull() | (u == ""), F.lit(None)).when(u.isin("nm", "%"), u).when(u.endswith("M"), molar).otherwise(lookup(F.lower(u), UNIT_WORDS))
+
+    return let(F.translate(t, "µμ", "uu"), known)
 
 
 def to_nm(value: Column, units: Column) -> Column:
@@ -63,11 +73,14 @@ def pdc50(value: Column, relation: Column) -> Column:
 
 def standardize(value: Column, relation: Column, units: Column, is_log: Column) -> Column:
     """struct(value, units, relation); a null struct refuses. Log forms flip the relation."""
-    unit = normalize_units(units)
-    molar = unit.isin(*TO_NM)
     log = F.struct(F.pow(F.lit(10.0), 9 - value).alias("value"), F.lit("nM").alias("units"), lookup(relation, INVERTED, F.lit("=")).alias("relation"))
-    own = F.struct(F.when(molar, to_nm(value, units)).otherwise(value).alias("value"), F.when(molar, F.lit("nM")).otherwise(unit).alias("units"), relation.alias("relation"))
-    return F.when(value.isNull(), F.lit(None)).when(is_log, log).when((unit == "%") | molar, own)
+
+    def own(unit: Column) -> Column:
+        molar = unit.isin(*TO_NM)
+        found = F.struct(F.when(molar, value * lookup(unit, TO_NM)).otherwise(value).alias("value"), F.when(molar, F.lit("nM")).otherwise(unit).alias("units"), relation.alias("relation"))
+        return F.when((unit == "%") | molar, found)
+
+    return F.when(value.isNull(), F.lit(None)).when(is_log, log).otherwise(let(normalize_units(units), own))
 
 
 def bin_fields(lower: Column, upper: Column, units: Column) -> Column:

@@ -33,6 +33,8 @@ def precedence_candidates(examples: DataFrame, entities: DataFrame, threshold: f
     low = threshold / (2 - threshold)  # ratio <= 2 * shorter / (both lengths)
     reach = F.expr(f"sequence(cast(ceil(length(a) * {low}) as int), cast(floor(length(a) / {low}) as int))")
     met = a.withColumn("len", F.explode(reach)).join(b.withColumn("len", F.length("b")), ["doc", "len"])
+    # a ratio of ``threshold`` leaves at most this share of both lengths unmatched, and no edit distance is longer
+    met = met.where(F.levenshtein("a", "b") <= F.floor((1 - threshold) * (F.length("a") + F.length("b")) + 1e-9))
     named = met.withColumn("score", similarity("a", "b")).where(F.col("score") >= threshold)
     return full.unionByName(pick("name", F.col("score"), named)).unionByName(skeleton)
 
