@@ -83,3 +83,49 @@ def transcription_pairs(rows: DataFrame, keys: list[str], units: str, value: str
     a = base.select(*keys, "_u", F.col("v").alias("v_a"), F.col("s").alias("seq_a"), F.explode(F.array(F.col("_b") - 1, "_b", F.col("_b") + 1)).alias("_b")).withColumn("_b", F.pmod("_b", F.lit(3_000_000)))
     b = base.select(*keys, "_u", F.col("v").alias("v_b"), F.col("s").alias("seq_b"), F.pmod(F.col("_b"), F.lit(3_000_000)).alias("_b"))
     return a.join(b, [*keys, "_u", "_b"]).where((F.col("seq_a") < F.col("seq_b")) & decade_gap(F.col("v_a"), F.col("v_b"))).select(*keys, "seq_a", "seq_b", "v_a", "v_b")
+
+
+def potency_lines(scores: DataFrame, entity: str, n_assays: int) -> DataFrame:
+    """entity, lines: the sum with its parts in order; how many assays are blank; whether a value is censored. Scores: entity, seq, name, label, bin_score, is_censored; unscored rows add nothing."""
+    parts = F.collect_list(F.when(F.col("bin_score").isNotNull(), F.struct("seq", F.concat("name", F.lit(" "), "label", F.lit("→"), F.col("bin_score").cast("string")).alias("t"))))
+    one = scores.groupBy(entity).agg(F.array_sort(parts).alias("p"), F.coalesce(F.sum("bin_score"), F.lit(0)).cast("string").alias("total"), F.coalesce(F.bool_or(F.col("is_censored") & F.col("bin_score").isNotNull()), F.lit(False)).alias("censored"))
+    few = F.concat(F.lit("scored on "), F.size("p").cast("string"), F.lit(f" of {n_assays} assays; blank cells are omitted, not counted as low"))
+    lines = F.array(F.concat(F.lit("potency "), "total", F.lit(" = "), F.array_join(F.transform("p", lambda x: x["t"]), ", ")), F.when(F.size("p") < n_assays, few), F.when(F.col("censored"), F.lit("letter-bin values are censored; efficiency metrics undefined")))
+    return one.select(entity, F.array_compact(lines).alias("lines"))
+
+
+def score_keys(gold: DataFrame, entities: DataFrame) -> DataFrame:
+    """One row: scored, correct, skeleton_correct, accuracy, skeleton_accuracy. Gold: id, key; entities: seq, number, local_id, key. Of rows with one id the first with a key counts."""
+    ids = entities.select("seq", "key", F.explode(F.array_distinct(F.array_compact(F.array(F.when(F.col("number") != 0, F.col("number").cast("string")), F.nullif(F.col("local_id").cast("string"), F.lit("")))))).alias("id"))
+    best = ids.groupBy("id").agg(F.min_by(F.struct("key"), F.struct(F.col("key").isNull(), "seq")).alias("b"))
+    both = gold.where("key IS NOT NULL AND key <> ''").select(F.col("id").cast("string").alias("id"), F.col("key").alias("want")).join(best, "id", "left").select("want", F.col("b.key").alias("got"))
+    same = F.coalesce(F.col("got") == F.col("want"), F.lit(False))
+    frame = F.coalesce(F.substring("got", 1, 14) == F.substring("want", 1, 14), F.lit(False))
+    one = both.agg(F.count("*").alias("scored"), F.count_if(same).alias("correct"), F.count_if(~same & frame & (F.col("got") != "")).alias("skeleton_correct"))
+    ratio = lambda a: F.coalesce(F.try_divide(a, F.col("scored")), F.lit(0.0))
+    return one.withColumns({"accuracy": ratio(F.col("correct")), "skeleton_accuracy": ratio(F.col("correct") + F.col("skeleton_correct"))})
+
+
+def score_examples(gold: DataFrame, entities: DataFrame) -> DataFrame:
+    """One row: scored, correct, skeleton_correct, accuracy of gold keys that any entity has."""
+    keys = entities.where("key IS NOT NULL AND key <> ''")
+    full, frames = keys.select(F.col("key").alias("_k"), F.lit(True).alias("_f")).distinct(), keys.select(F.substring("key", 1, 14).alias("_s"), F.lit(True).alias("_g")).distinct()
+    both = gold.select("key", F.substring("key", 1, 14).alias("_p")).join(full, F.col("key") == F.col("_k"), "left").join(frames, F.col("_p") == F.col("_s"), "left")
+    one = both.agg(F.count("*").alias("scored"), F.count("_f").alias("correct"), F.count("_g").alias("skeleton_correct"))
+    return one.withColumn("accuracy", F.coalesce(F.try_divide("correct", "scored"), F.lit(0.0)))
+
+
+def score_join(gold: DataFrame, predicted: DataFrame, entities: DataFrame) -> DataFrame:
+    """One row: gold ids with any value, those with any prediction, accuracy, entities whose id was inferred (a hard failure). Gold, predicted: id, value; entities: join_method."""
+    want = gold.where("value IS NOT NULL").select("id").distinct()
+    have = predicted.where("value IS NOT NULL AND value <> ''").select("id", F.lit(True).alias("_h")).distinct()
+    one = want.join(have, "id", "left").agg(F.count("*").alias("gold_ids"), F.count("_h").alias("matched"))
+    inferred = entities.agg(F.count_if(F.coalesce(F.col("join_method").isin("interpolated", "inferred_number"), F.lit(False))).alias("interpolated"))
+    return one.crossJoin(inferred).withColumn("accuracy", F.coalesce(F.try_divide("matched", "gold_ids"), F.lit(0.0)))
+
+
+def score_legends(gold: DataFrame, found: DataFrame) -> DataFrame:
+    """One row: expected assays, those all of whose labels were found, contradictions found. Gold: assay, label; found: assay, label, discrepancy."""
+    have = found.select("assay", "label", F.lit(True).alias("_h")).distinct()
+    one = gold.select("assay", "label").distinct().join(have, ["assay", "label"], "left").groupBy("assay").agg(F.bool_and(F.col("_h").isNotNull()).alias("whole"))
+    return one.agg(F.count("*").alias("expected"), F.count_if("whole").alias("recovered")).crossJoin(found.agg(F.count("discrepancy").alias("contradictions")))

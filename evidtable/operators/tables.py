@@ -96,3 +96,35 @@ def duplicate_groups(rows: DataFrame, key: str, ident: str) -> DataFrame:
 def wide(rows: DataFrame, entity: str, column: str, value: str, seq: str, columns: Sequence[str]) -> DataFrame:
     """One row per entity, a column for each of the listed headers, the last value of each, blank where there is none."""
     return rows.groupBy(entity).pivot(column, list(columns)).agg(F.max_by(value, seq)).na.fill("", subset=list(columns))
+
+
+def adjacent_anomalies(df: DataFrame, doc: str, position: str, number: str) -> DataFrame:
+    """(doc, position, kind, previous, number): unreadable; and of readable neighbours duplicate, order, or a gap wider than the unreadable cells between explain."""
+    w = Window.partitionBy(doc).orderBy(position)
+    unreadable = df.where(F.col(number).isNull()).select(doc, position, F.lit("unreadable").alias("kind"), F.lit(None).cast("long").alias("previous"), F.lit(None).cast("long").alias("number"))
+    near = df.where(F.col(number).isNotNull()).select(doc, F.col(position), F.col(number).cast("long").alias("number"), F.lag(number).over(w).cast("long").alias("previous"), F.lag(position).over(w).alias("_at"))
+    step = F.col("number") - F.col("previous")
+    kind = F.when(step == 0, "duplicate").when(step < 0, "order").when(step - 1 > F.col(position) - F.col("_at") - 1, "gap")
+    return unreadable.unionByName(near.withColumn("kind", kind).where("kind IS NOT NULL").select(doc, position, "kind", "previous", "number"))
+
+
+def duplicate_links(rows: DataFrame, key: str, ident: str, seq: str) -> DataFrame:
+    """(key, first, other): every other id of a shared key against the earliest; the pairs of a group follow from them, and their count is linear."""
+    ids = rows.where(F.col(key).isNotNull()).groupBy(key, ident).agg(F.min(seq).alias("_s"))
+    first = F.first(ident).over(Window.partitionBy(key).orderBy("_s", ident))
+    return ids.withColumn("first", first).where(~F.col("first").eqNullSafe(F.col(ident))).select(key, "first", F.col(ident).alias("other"))
+
+
+def dedupe_numberless(rows: DataFrame, doc: str, seq: str, number: str, name: str) -> DataFrame:
+    """``doc, seq`` of rows that stay: all numbered ones; of the others, in order, those whose name (letters and digits) neither holds nor is held by one that already stays; a row without a name stays. A fold over one document's rows."""
+    key = F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), "[^a-z0-9]", "")
+    docs = rows.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(number).isNotNull().alias("n"), key.alias("k")))).alias("_rows"))
+    numbered, others = F.filter("_rows", lambda r: r["n"]), F.filter("_rows", lambda r: ~r["n"])
+    start = F.struct(F.transform(F.filter(numbered, lambda r: r["k"] != ""), lambda r: r["k"]).alias("names"), F.transform(numbered, lambda r: r["s"]).alias("stay"))
+
+    def step(acc: Column, r: Column) -> Column:
+        held = (r["k"] != "") & F.exists(acc["names"], lambda o: F.contains(o, r["k"]) | F.contains(r["k"], o))
+        own = F.filter(F.array(r["k"]), lambda k: k != "")
+        return F.when(held, acc).otherwise(F.struct(F.concat(acc["names"], own).alias("names"), F.concat(acc["stay"], F.array(r["s"])).alias("stay")))
+
+    return docs.select(doc, F.explode(F.aggregate(others, start, step)["stay"]).alias(seq))

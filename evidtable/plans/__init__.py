@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import corpus, measurements
+from . import corpus, documents, measurements
 
 
 def queries() -> dict:
-    return {**measurements.QUERIES, **corpus.QUERIES}
+    return {**measurements.QUERIES, **corpus.QUERIES, **documents.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**measurements.SQL, **corpus.SQL}
+    return {**measurements.SQL, **corpus.SQL, **documents.SQL}
