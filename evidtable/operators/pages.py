@@ -76,8 +76,9 @@ def column_roles(texts: Column, widths: Column) -> Column:
 def classify(pages: DataFrame, keys: list[str]) -> DataFrame:
     """``pages`` (keys, n_rows, texts, widths) with kind: activity_table before compound_table, else null. Each different header line is matched once."""
     lines = pages.select(*keys, F.explode("texts").alias("_t")).select(*keys, first_line(F.col("_t")).alias("_line")).where("_line <> ''")
-    known = match_headers(lines.select("_line").distinct(), "_line").where("match IS NOT NULL").select("_line")
-    assay = lines.join(known, "_line", "left_semi").select(*keys).distinct().withColumn("_assay", F.lit(True))
+    # a flag and no filter: the optimizer would carry a filter's expression, all aliases long, through every step as a constraint
+    known = match_headers(lines.select("_line").distinct(), "_line").select("_line", F.col("match").isNotNull().alias("_known"))
+    assay = lines.join(known, "_line").groupBy(*keys).agg(F.bool_or("_known").alias("_assay"))
     number = F.exists("texts", lambda t: F.coalesce(t.rlike(NUMBER_HEADER), F.lit(False)))
     roles = column_roles(F.col("texts"), F.col("widths"))
     out = pages.join(assay, keys, "left").withColumn("_roles", roles)
