@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import near_copies
 from .common import map_arrow, min_labels, slices, stage
 
 SEED = 42
@@ -36,21 +37,31 @@ SMALL_SHARD = 24
 FRONTIER = 512
 
 
-def fingerprint(text: str | None) -> int:
-    """The 64 majority bits of the XXH64 values of a text's word shingles."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The XXH64 values of a text's word shingles, repeats among them."""
     words = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII space splits
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = list(accumulate((len(w) + 1 for w in words)))
     starts = [0, *ends[:-1]]
-    k = min(SHINGLE, len(words))
-    h = np.fromiter((xxhash.xxh64_intdigest(joined[s : e - 1], SEED) for s, e in zip(starts, ends[k - 1 :], strict=False)), np.uint64, len(words) - k + 1)
+    k = min(shingle, len(words))
+    return np.fromiter((xxhash.xxh64_intdigest(joined[s : e - 1], SEED) for s, e in zip(starts, ends[k - 1 :], strict=False)), np.uint64, len(words) - k + 1)
+
+
+def _majority(h: np.ndarray) -> int:
+    if not len(h):
+        return 0
     bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     counts = bits.sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(counts * 2 > len(h), bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: str | None) -> int:
+    """The 64 majority bits of the XXH64 values of a text's word shingles."""
+    return _majority(shingle_hashes(text))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp (the fingerprint as a signed long)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -167,11 +178,36 @@ def components(docs: DataFrame) -> DataFrame:
     return fps.join(of, "fp").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component, all others gone; rows with a null doc_id stay."""
-    found = components(docs)
-    kept = stage(found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"))
-    # the ids kept grow with the input: merged, never broadcast
-    known = packed.where("_id is not null").join(kept.withColumnRenamed("doc_id", "_id").hint("merge"), "_id", "left_semi")
-    return known.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+def sketched(docs: DataFrame) -> DataFrame:
+    """id, fp, digest and bands (of the set of shingles) of every row of ``docs`` with an id, by one hashing of its shingles."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            fp, digests, bands = [], [], []
+            for x in b.column(1):
+                h = shingle_hashes(x.as_py())
+                own = np.unique(h)
+                fp.append(_signed(_majority(h)))
+                digests.append(near_copies.digest(own))
+                bands.append(near_copies.sketch(own))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "fp", "digest", "bands"])
+
+    return map_arrow(docs, work, "id long, fp long, digest binary, bands array<long>")
+
+
+def keep_first(docs: DataFrame, similar: tuple[int, int] = near_copies.SIMILAR) -> DataFrame:
+    """The rows of ``docs`` that are the first of their group, all others gone; rows with a null doc_id stay.
+
+    A group is linked by fingerprints within RADIUS bits and by a Jaccard similarity of shingles of ``similar`` at
+    least, whatever the distance of the fingerprints.
+    """
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
+    rows = stage(sketched(texts), "sketches")
+    distinct = stage(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
+    same = rows.select("id", "fp").join(distinct, "fp").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    near = near_copies.links(texts, rows.select("id", "digest", "bands"), lambda x: np.unique(shingle_hashes(x)), similar)
+    labels = min_labels(links(distinct.withColumnRenamed("first", "id")).unionByName(same).unionByName(near))
+    gone = stage(labels.where("node <> label").select(F.col("node").alias("_id")), "gone")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_id"))
+    # the ids that go grow with the input: merged, never broadcast
+    return packed.join(gone.hint("merge"), "_id", "left_anti").select("row.*")
