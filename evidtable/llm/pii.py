@@ -3,9 +3,9 @@
 Base entities (email, ip, card, phone) and values behind cue words are the seeds. Every identifier-like string with the
 three lexical tokens before it (a word among them) is an edge of a pattern-instance graph, counted by task and summed by Spark. Rounds of
 scoring follow: a pattern's score is the mean score of its different instances, an instance's the best of its
-patterns, seeds stay at one. Patterns with a high score, enough different instances and at least ``MIN_SHARE`` of all
-occurrences are accepted, so at most 1 / MIN_SHARE of them whatever the input, and what stands behind them is found
-as kind ``id`` unless a base span covers some of it.
+patterns, seeds stay at one. Patterns with a high score and enough different instances are accepted, however many and
+whatever their share of the table, and what stands behind them is found as kind ``id`` unless a base span covers some
+of it. Up to ``SHARED_PATTERNS`` of those that find something go to the executors; more are joined.
 
 Defined results: a null text is empty and has no spans; spans are in code points of the whole text, end exclusive;
 repeated rows and ties are found each; an empty table gives an empty result; other columns are not read by ``detect``
@@ -17,24 +17,27 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import map_arrow, slices, stage
+from .common import keep_columns, map_arrow, slices, stage
 
 KINDS = ("email", "ip", "card", "phone", "id")
 #: Words that say that an identifier follows, behind ``=`` or ``:``; seeds besides the base entities.
 CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "key", "ssn", "passport", "account", "iban", "licence", "license_no", "session")
-MIN_SHARE = 0.001
 MIN_INSTANCES = 3
 MIN_SCORE = 0.75
 ROUNDS = 3
 MIN_IDENTIFIER = 8
+#: More patterns than these are not sent to every executor but joined with the places they could stand before.
+SHARED_PATTERNS = 100_000
 #: A pattern looks at so many characters before an identifier.
 REACH = 48
+_PLACES = StructType([StructField("places", ArrayType(StructType([StructField("s", LongType()), StructField("e", LongType()), StructField("p", StringType())])))])
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _WORDY = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -105,18 +108,24 @@ def pattern(text: str, start: int) -> str:
     return " ".join(_DIGITS.sub("0", x) for x in _LEX.findall(text[max(0, start - REACH) : start].lower())[-3:])
 
 
+def _covered(base: list[tuple[int, int, int]], s: int, e: int) -> bool:
+    return any(a < e and s < z for a, _, z in base)
+
+
 def edges(docs: DataFrame) -> DataFrame:
-    """pattern, instance, n, seed: the graph, summed over tasks."""
+    """pattern, instance, n, seed, free (not covered by a base span, somewhere): the graph, summed over tasks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         seeds: set = set()
+        free: set = set()
 
         def made() -> pa.RecordBatch:
             keys = list(seen)
-            batch = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64()), pa.array([k in seeds for k in keys])], names=["pattern", "instance", "n", "seed"])
+            batch = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64()), pa.array([k in seeds for k in keys]), pa.array([k in free for k in keys])], names=["pattern", "instance", "n", "seed", "free"])
             seen.clear()
             seeds.clear()
+            free.clear()
             return batch
 
         for b in slices(batches):
@@ -132,69 +141,122 @@ def edges(docs: DataFrame) -> DataFrame:
                     seen[key] += 1
                     if _CUE.search(p) or any(a <= s and e <= z for a, _, z in base):
                         seeds.add(key)
+                    if not _covered(base, s, e):
+                        free.add(key)
             if len(seen) > 50_000:
                 yield made()
         if seen:
             yield made()
 
-    found = map_arrow(docs.select("doc_id", "text"), work, "pattern string, instance string, n long, seed boolean")
-    return found.groupBy("pattern", "instance").agg(F.sum("n").alias("n"), F.max("seed").alias("seed"))
+    found = map_arrow(docs.select("doc_id", "text"), work, "pattern string, instance string, n long, seed boolean, free boolean")
+    return found.groupBy("pattern", "instance").agg(F.sum("n").alias("n"), F.max("seed").alias("seed"), F.max("free").alias("free"))
 
 
-def learn_patterns(docs: DataFrame, rounds: int = ROUNDS) -> list[str]:
-    """Accepted patterns; at most 1 / MIN_SHARE."""
+def accepted_patterns(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """pattern, finds (whether something stands behind it that no base span covers) of every accepted pattern."""
     graph = stage(edges(docs), "graph")
-    total = graph.agg(F.sum("n")).first()[0] or 0
     lexical = graph.where(F.col("pattern").rlike("\\p{L}"))
-    wide = stage(lexical.groupBy("pattern").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where((F.col("k") >= MIN_INSTANCES) & (F.col("n") >= MIN_SHARE * total)), "wide")
+    wide = stage(lexical.groupBy("pattern").agg(F.count("*").alias("k"), F.max("free").alias("finds")).where(F.col("k") >= MIN_INSTANCES), "wide")
     fixed = graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("fixed"))
     linked = stage(graph.join(wide.select("pattern"), "pattern", "left_semi").select("pattern", "instance").join(fixed, "instance"), "linked")
     patterns = stage(linked.groupBy("pattern").agg(F.avg("fixed").alias("p")), "patterns0")
     for n in range(1, rounds):
         scores = stage(linked.join(patterns, "pattern").groupBy("instance").agg(F.max(F.greatest("fixed", "p")).alias("score")), f"scores{n}")
         patterns = stage(linked.join(scores, "instance").groupBy("pattern").agg(F.avg("score").alias("p")), f"patterns{n}")
-    return sorted(r["pattern"] for r in patterns.where(F.col("p") >= MIN_SCORE).select("pattern").collect())
+    return stage(patterns.where(F.col("p") >= MIN_SCORE).join(wide, "pattern").select("pattern", "finds"), "accepted")
+
+
+def learn_patterns(docs: DataFrame, rounds: int = ROUNDS) -> list[str]:
+    """Every accepted pattern, as a list: for tables whose patterns fit the driver."""
+    return sorted(r["pattern"] for r in accepted_patterns(docs, rounds).select("pattern").collect())
+
+
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str]]:
+    """(start, end, pattern) of the identifiers that no base span covers."""
+    return [(s, e, pattern(text, s)) for s, e in identifiers(text) if not _covered(base, s, e)]
 
 
 def all_spans(text: str, accepted: frozenset[str]) -> list[tuple[int, int, int]]:
     """Base and discovered spans (start, kind number, end), sorted."""
     base = base_spans(text)
-    if accepted:
-        for s, e in identifiers(text):
-            if pattern(text, s) in accepted and not any(a < e and s < z for a, _, z in base):
-                base.append((s, 4, e))
-    return sorted(base)
+    return sorted(base + [(s, 4, e) for s, e, p in candidates(text, base) if p in accepted]) if accepted else base
 
 
 def _told(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
+def _with_spans(docs: DataFrame, accepted: list[str] | None, made: Callable[[pa.RecordBatch, list], pa.RecordBatch], schema: str | StructType) -> DataFrame:
+    """``made`` of every slice of ``docs`` and its rows' spans, by the patterns given or learnt from all of ``docs``."""
+    at = docs.columns.index("text")
+    if accepted is None:
+        useful = accepted_patterns(docs).where("finds").select("pattern")
+        if useful.count() > SHARED_PATTERNS:
+            return _joined(docs, useful, made, schema)
+        accepted = [r["pattern"] for r in useful.collect()]
+    known = docs.sparkSession.sparkContext.broadcast(frozenset(accepted))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield made(b, [all_spans(x.as_py() or "", known.value) for x in b.column(at)])
+
+    return map_arrow(docs, work, schema)
+
+
+def _joined(docs: DataFrame, patterns: DataFrame, made: Callable[[pa.RecordBatch, list], pa.RecordBatch], schema: str | StructType) -> DataFrame:
+    """``_with_spans`` by a join: rows without a candidate need no pattern; the others are staged with a row number."""
+    at = docs.columns.index("text")
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            base = [base_spans(x.as_py() or "") for x in b.column(at)]
+            own = [i for i, (x, s) in enumerate(zip(b.column(at), base, strict=True)) if not candidates(x.as_py() or "", s)]
+            yield made(b.take(pa.array(own, pa.int64())), [base[i] for i in own])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("p", pa.string())]))
+        for b in slices(batches):
+            places = [candidates(x, base_spans(x)) for x in (x.as_py() or "" for x in b.column(1))]
+            own = pa.array([i for i, x in enumerate(places) if x], pa.int64())
+            told = pa.array([[{"s": s, "e": e, "p": p} for s, e, p in x] for x in places if x], kind)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(own), told], names=["row", "places"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            rows = pa.RecordBatch.from_arrays(b.columns[:-1], schema=pa.schema(list(b.schema)[:-1]))
+            found = [[(x["s"], 4, x["e"]) for x in own or []] for own in b.column(b.num_columns - 1).to_pylist()]
+            yield made(rows, [sorted(base_spans(x.as_py() or "") + own) for x, own in zip(rows.column(at), found, strict=True)])
+
+    packed = keep_columns(docs)
+    open_ = map_arrow(packed.select("row", F.col("row.text").alias("text")), placed, StructType([*packed.schema.fields, *_PLACES.fields]))
+    open_ = stage(open_.withColumn("number", F.monotonically_increasing_id()), "places")
+    each = open_.select("number", F.explode("places").alias("x")).select("number", F.col("x.p").alias("pattern"), F.struct("x.s", "x.e").alias("span"))
+    found = each.join(patterns, "pattern").groupBy("number").agg(F.collect_list("span").alias("_id_spans"))
+    told = open_.join(found, "number", "left").select("row.*", "_id_spans")
+    return map_arrow(docs, plain, schema).unionAll(map_arrow(told, merged, schema))
+
+
 def detect(docs: DataFrame, accepted: list[str] | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    known = docs.sparkSession.sparkContext.broadcast(frozenset(learn_patterns(docs) if accepted is None else accepted))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            rows = []
-            for x in b.column(1):
-                spans = all_spans(x.as_py() or "", known.value)
-                n = Counter(k for _, k, _ in spans)
-                base = _told([s for s in spans if s[1] < 4])
-                rows.append((n[0], n[1], n[2], n[3], hashlib.sha256(base.encode()).hexdigest(), _told(spans), n[4]))
-            cols = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_id"])
+    def made(b: pa.RecordBatch, every: list) -> pa.RecordBatch:
+        rows = []
+        for spans in every:
+            n = Counter(k for _, k, _ in spans)
+            base = _told([s for s in spans if s[1] < 4])
+            rows.append((n[0], n[1], n[2], n[3], hashlib.sha256(base.encode()).hexdigest(), _told(spans), n[4]))
+        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()])]
+        return pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_id"])
 
-    return map_arrow(docs.select("doc_id", "text"), work, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long")
+    return _with_spans(docs.select("doc_id", "text"), accepted, made, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long")
 
 
-def redacted(text: str | None, accepted: frozenset[str]) -> str | None:
-    """The text with every span as ``[KIND]``; of overlapping spans the first, as far as all of them reach."""
+def _replaced(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
     if text is None:
         return None
     out, at, end = [], 0, 0
-    for s, k, e in all_spans(text, accepted):
+    for s, k, e in spans:
         if s >= end:
             out += (text[at:s] if s > at else "", f"[{KINDS[k].upper()}]")
         end = max(end, e)
@@ -202,15 +264,18 @@ def redacted(text: str | None, accepted: frozenset[str]) -> str | None:
     return "".join(out) + text[at:]
 
 
+def redacted(text: str | None, accepted: frozenset[str]) -> str | None:
+    """The text with every span as ``[KIND]``; of overlapping spans the first, as far as all of them reach."""
+    return _replaced(text, all_spans(text or "", accepted))
+
+
 def redact(docs: DataFrame, accepted: list[str] | None = None) -> DataFrame:
     """``docs`` with redacted texts, all columns kept."""
-    known = docs.sparkSession.sparkContext.broadcast(frozenset(learn_patterns(docs) if accepted is None else accepted))
     at = docs.columns.index("text")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            cols = list(b.columns)
-            cols[at] = pa.array([redacted(x, known.value) for x in b.column(at).to_pylist()], b.schema.types[at])
-            yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
+    def made(b: pa.RecordBatch, every: list) -> pa.RecordBatch:
+        cols = list(b.columns)
+        cols[at] = pa.array([_replaced(x, s) for x, s in zip(b.column(at).to_pylist(), every, strict=True)], b.schema.types[at])
+        return pa.RecordBatch.from_arrays(cols, schema=b.schema)
 
-    return map_arrow(docs, work, docs.schema)
+    return _with_spans(docs, accepted, made, docs.schema)
