@@ -1,6 +1,6 @@
 """Personal data by fixed patterns and bootstrapped contextual extraction.
 
-Base entities (email, ip, card, phone) and values behind cue words are the seeds. Every identifier-like string with the
+Base entities (email, ip, card, phone), each as a whole, and values behind cue words are the seeds. Every seed and every identifier-like string with the
 three lexical tokens before it (a word among them) is an edge of a pattern-instance graph, counted by task and summed by Spark. Rounds of
 scoring follow: a pattern's score is the mean score of its different instances, an instance's the best of its
 patterns, seeds stay at one. Patterns with a high score and enough different instances are accepted, however many and
@@ -131,15 +131,15 @@ def edges(docs: DataFrame) -> DataFrame:
         for b in slices(batches):
             for x in b.column(1):
                 text = x.as_py() or ""
-                found = list(identifiers(text))
-                if not found:
-                    continue
                 base = base_spans(text)
-                for s, e in found:
+                whole = {(s, e) for s, _, e in base}
+                starts = {s for s, _ in whole}
+                # an identifier that begins a base span is that span's own occurrence
+                for s, e in [*whole, *(x for x in identifiers(text) if x[0] not in starts)]:
                     p = pattern(text, s)
                     key = (p, hashlib.blake2b(text[s:e].encode(), digest_size=12).hexdigest())
                     seen[key] += 1
-                    if _CUE.search(p) or any(a <= s and e <= z for a, _, z in base):
+                    if (s, e) in whole or _CUE.search(p) or any(a <= s and e <= z for a, _, z in base):
                         seeds.add(key)
                     if not _covered(base, s, e):
                         free.add(key)

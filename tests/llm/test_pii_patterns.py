@@ -16,3 +16,14 @@ def test_unrelated_rows_switch_no_find_off(spark, monkeypatch):
     assert sum("[ID]" in t for t in sent_text) == 5 and len(sent) == len(rows)
     monkeypatch.setattr(pii, "SHARED_PATTERNS", 0)
     assert told() == sent and text() == sent_text
+
+
+def test_contexts_of_every_base_kind_find_unseen_identifiers(spark):
+    base = {"email": "user{}@mail.example.com", "ip": "10.20.30.{}", "phone": "+1 (555) 010-99{:02d}"}
+    rows = [f"please contact {kind} desk {form.format(i)} soon" for kind, form in base.items() for i in range(10, 16)]
+    rows += [f"please contact {kind} desk hidden{kind}77x soon" for kind in base] + ["some other words hidden00plain soon"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {f"contact {kind} desk" for kind in base} <= set(pii.learn_patterns(docs))
+    out = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert [out[18 + i] for i in range(3)] == [f"please contact {kind} desk [ID] soon" for kind in base]
+    assert out[21] == rows[21]
