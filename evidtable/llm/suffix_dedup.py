@@ -8,16 +8,26 @@ a group, the suffixes and the reversed prefixes are sorted by deep-shallow sorti
 ``SHALLOW`` bytes, blind tries for the groups that agree further. The longest common prefixes of both orders tell which
 ``LENGTH``-byte strings that hold the anchor occur elsewhere. Comparisons are on bytes; hashes only bring together.
 
+A hash that stands at more than ``HOT`` places is not sorted in one task: ``peel`` takes one member of its group as pivot,
+settles what every member shares with it, and deals the rest anew by the first byte in which a member leaves the pivot,
+to the left and to the right (the quicksort's partition, as a shuffle), until groups are small.
+
+Words take the same way: a text is also read as one 4-byte number for each word, and strings of ``WORDS`` words that
+also start elsewhere give ``n_passage_words``. A passage of so many short words has fewer than ``LENGTH`` bytes; it is
+counted and not removed.
+
 Defined results: a null text is empty; a document shorter than ``LENGTH`` bytes loses nothing; each row of repeated
 documents loses what the copies share, whatever its id; an empty table gives an empty result; other columns are not
-read.
+read. A long text is worked through in blocks; what its shared anchors hold is in proportion to its own size.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +38,36 @@ from .common import map_arrow, slices, stage
 
 LENGTH = 400
 GRAM = 128
+WORDS = 50
+WORD_GRAM = 26
 SHALLOW = 32
+#: A hash at more places than these is dealt by ``peel``.
+HOT = 512
+#: Surroundings that a task remembers as already sent; beyond, it forgets them and sends some again.
+REMEMBERED = 100_000
 #: Groups of at most so many different surroundings are compared by pairs; larger ones by class at each shift.
 PAIRED = 24
 _BLOCK = 1 << 22
+
+
+class Scale(NamedTuple):
+    """What is compared: strings of ``length`` units of ``unit`` bytes that hold an anchor of ``gram`` units."""
+
+    kind: int
+    unit: int
+    length: int
+    gram: int
+
+    @property
+    def size(self) -> int:
+        return self.length * self.unit
+
+    @property
+    def reach(self) -> int:
+        return (self.length - self.gram) * self.unit
+
+
+SCALES = (Scale(0, 1, LENGTH, GRAM), Scale(1, 4, WORDS, WORD_GRAM))
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -138,30 +174,39 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(up), np.cumprod(down)
 
 
-def _hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of every GRAM-byte string, the same wherever the string stands."""
+def _hashes(units: np.ndarray, scale: Scale) -> np.ndarray:
+    """Hash of every string of ``scale.gram`` units, the same wherever the string stands; its lowest bit is the kind."""
     up, down = _powers()
-    n = len(data)
+    n, gram = len(units), scale.gram
     with np.errstate(over="ignore"):
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-        h = (total[GRAM:] - total[:-GRAM]) * down[: n - GRAM + 1]
+        np.cumsum((units.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+        h = (total[gram:] - total[:-gram]) * down[: n - gram + 1]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
+        h ^= h >> np.uint64(32)
+    return (h & ~np.uint64(1)) | np.uint64(scale.kind)
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of a text."""
-    width = LENGTH - GRAM + 1
-    if len(data) < LENGTH:
+def units_of(data: bytes, scale: Scale) -> np.ndarray:
+    """A text as bytes, or as one number for each run of other than ASCII white space."""
+    if scale.unit == 1:
+        return np.frombuffer(data, np.uint8)
+    words = data.split()
+    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+
+
+def anchors(every: np.ndarray, scale: Scale = SCALES[0]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (in units) and hashes of the anchors of a text's units."""
+    width = scale.length - scale.gram + 1
+    if len(every) < scale.length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    every, pos, hashes = np.frombuffer(data, np.uint8), [], []
-    for at in range(0, len(data) - LENGTH + 1, _BLOCK):
-        part = every[at : at + _BLOCK + LENGTH - 1]
-        h = _hashes(part)
+    pos, hashes = [], []
+    for at in range(0, len(every) - scale.length + 1, _BLOCK):
+        part = every[at : at + _BLOCK + scale.length - 1]
+        h = _hashes(part, scale)
         n = len(h)
         key = (h & np.uint64(0xFFFFFFFFFF000000)) | (np.uint64(0xFFFFFF) - np.arange(n, dtype=np.uint64))
         full = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
@@ -197,57 +242,66 @@ def _ranges(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(z) - 1) for a, z in zip(edge[::2], edge[1::2], strict=True)]
 
 
-def repeated_shifts(lefts: list[bytes], rights: list[bytes]) -> list[list[tuple[int, int]]]:
+def _aligned(spans: list[tuple[int, int]], scale: Scale) -> list[tuple[int, int]]:
+    """Ranges of shifts that begin and end with a unit."""
+    if scale.unit == 1:
+        return spans
+    cut = [(-(-a // scale.unit) * scale.unit, z // scale.unit * scale.unit) for a, z in spans]
+    return [(a, z) for a, z in cut if a <= z]
+
+
+def repeated_shifts(lefts: list[bytes], rights: list[bytes], scale: Scale = SCALES[0]) -> list[list[tuple[int, int]]]:
     """For each of several different surroundings (reversed left, right) the shifts d, as ranges, at which the
-    LENGTH bytes that begin d bytes before the anchor are also in another."""
-    g = len(lefts)
-    if g == 2:
-        left, right = common_prefix(lefts[0], lefts[1]), common_prefix(rights[0], rights[1])
-        own = [(max(0, LENGTH - right), left)] if right + left >= LENGTH and LENGTH - right <= left else []
-        return [own, own]
+    ``scale.size`` bytes that begin d bytes before the anchor are also in another."""
+    g, size = len(lefts), scale.size
     order_l, lcp_l = deep_shallow_sort(lefts)
     order_r, lcp_r = deep_shallow_sort(rights)
+    if g == 2:
+        left, right = lcp_l[1], lcp_r[1]
+        own = _aligned([(max(0, size - right), left)], scale) if right + left >= size and size - right <= left else []
+        return [own, own]
     if g <= PAIRED:
-        low = np.zeros((2, g, g), np.int64)
-        for m, (order, lcp) in enumerate(((order_l, lcp_l), (order_r, lcp_r))):
-            cut = np.array(lcp)
+        low_l, low_r = ([[0] * g for _ in range(g)] for _ in range(2))
+        for low, order, lcp in ((low_l, order_l, lcp_l), (low_r, order_r, lcp_r)):
             for i in range(g - 1):
-                low[m, order[i], order[i + 1 :]] = low[m, order[i + 1 :], order[i]] = np.minimum.accumulate(cut[i + 1 :])
-        start = np.maximum(LENGTH - low[1], 0)
-        ok = start <= low[0]
-        np.fill_diagonal(ok, False)
+                least, own = 1 << 30, order[i]
+                for k in range(i + 1, g):
+                    least = min(least, lcp[k])
+                    low[own][order[k]] = low[order[k]][own] = least
         out = []
         for i in range(g):
-            j = np.flatnonzero(ok[i])
-            out.append([(a, z - 1) for a, z in _merged([(int(start[i, x]), int(low[0, i, x]) + 1) for x in j])])
+            near = [(max(0, size - r), x + 1) for k, (x, r) in enumerate(zip(low_l[i], low_r[i], strict=True)) if k != i and x + r >= size]
+            out.append(_aligned([(a, z - 1) for a, z in _merged(near)], scale))
         return out
     size_l, size_r = np.array([len(x) for x in lefts]), np.array([len(x) for x in rights])
     order_l, order_r, lcp_l, lcp_r = map(np.array, (order_l, order_r, lcp_l, lcp_r))
-    flags = np.zeros((g, LENGTH - GRAM + 1), bool)
+    flags = np.zeros((g, scale.reach + 1), bool)
     of_l, of_r = np.empty(g, np.int64), np.empty(g, np.int64)
-    for d in range(LENGTH - GRAM + 1):
+    for d in range(0, scale.reach + 1, scale.unit):
         of_l[order_l] = np.cumsum(lcp_l < d)
-        of_r[order_r] = np.cumsum(lcp_r < LENGTH - d)
-        use = np.flatnonzero((size_l >= d) & (size_r >= LENGTH - d))
+        of_r[order_r] = np.cumsum(lcp_r < size - d)
+        use = np.flatnonzero((size_l >= d) & (size_r >= size - d))
         key = of_l[use] * (g + 1) + of_r[use]
         _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
         flags[use, d] = counts[inverse] > 1
+    if scale.unit > 1:
+        return [[(int(d), int(d)) for d in np.flatnonzero(f)] for f in flags]
     return [_ranges(f) for f in flags]
 
 
-def _group(rows: list[tuple]) -> list[tuple[bytes, int, int]]:
-    """Repeated spans (text, start, end) from the anchors (text, position, left, right) of one hash."""
+def _group(rows: list[tuple], scale: Scale) -> list[tuple[bytes, int, int]]:
+    """Repeated spans (text, start, end), in bytes of the units, from the anchors (text, position, left, right) of one key."""
     classes: dict[tuple[bytes, bytes], list[tuple[bytes, int]]] = {}
     for text, pos, left, right in set(rows):
         classes.setdefault((left, right), []).append((text, pos))
     out = []
     for (left, right), members in classes.items():
-        if len(members) > 1 and len(left) + len(right) >= LENGTH:
+        if len(members) > 1 and len(left) + len(right) >= scale.size:
             out += [(t, p - len(left), p + len(right)) for t, p in members]
     if len(classes) > 1:
         keys = list(classes)
-        for k, found in zip(keys, repeated_shifts([a for a, _ in keys], [b for _, b in keys]), strict=True):
-            out += [(t, p - z, p - a + LENGTH) for a, z in found for t, p in classes[k]]
+        for k, found in zip(keys, repeated_shifts([a for a, _ in keys], [b for _, b in keys], scale), strict=True):
+            out += [(t, p - z, p - a + scale.size) for a, z in found for t, p in classes[k]]
     return out
 
 
@@ -263,101 +317,190 @@ def _digest() -> Column:
 
 
 def _all_anchors(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, n_bytes, sha256, hashes (different ones), twice (those that the text has twice)."""
+    """doc_id, digest, n_bytes, n_words, sha256, hashes (different ones, of bytes and of words), again (each further occurrence)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            size, sha, once, twice = [], [], [], []
+            size, words, sha, once, again = [], [], [], [], []
             for x in b.column(1):
                 data = (x.as_py() or "").encode()
-                h, n = np.unique(anchors(data)[1], return_counts=True)
+                units = [units_of(data, scale) for scale in SCALES]
+                h, n = np.unique(np.concatenate([anchors(u, scale)[1] for u, scale in zip(units, SCALES, strict=True)]), return_counts=True)
                 size.append(len(data))
+                words.append(len(units[1]))
                 sha.append(hashlib.sha256(data).hexdigest())
                 once.append(h)
-                twice.append(h[n > 1])
+                again.append(np.repeat(h, n - 1))
             longs = pa.list_(pa.int64())
+            digest = pa.array([bytes.fromhex(s[:32]) for s in sha], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([bytes.fromhex(s[:32]) for s in sha], pa.binary()), pa.array(size, pa.int64()), pa.array(sha), pa.array(once, longs), pa.array(twice, longs)],
-                names=["doc_id", "digest", "n_bytes", "sha256", "hashes", "twice"],
+                [b.column(0), digest, pa.array(size, pa.int64()), pa.array(words, pa.int64()), pa.array(sha), pa.array(once, longs), pa.array(again, longs)],
+                names=["doc_id", "digest", "n_bytes", "n_words", "sha256", "hashes", "again"],
             )
 
-    return map_arrow(docs.select("doc_id", "text"), work, f"doc_id {kind}, digest binary, n_bytes long, sha256 string, hashes array<long>, twice array<long>")
+    return map_arrow(docs.select("doc_id", "text"), work, f"doc_id {kind}, digest binary, n_bytes long, n_words long, sha256 string, hashes array<long>, again array<long>")
+
 
+_ROW = {"h": pa.int64(), "digest": pa.binary(), "pos": pa.int64(), "left": pa.binary(), "right": pa.binary(), "until": pa.int64()}
+_ROW_SCHEMA = "h long, digest binary, pos long, left binary, right binary, until long"
 
-def _surroundings(texts: DataFrame) -> DataFrame:
+
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
+
+
+def _known(kind: int, digest: bytes, start: int, stop: int) -> tuple:
+    """A span that needs no meeting: dealt by the text and the place, so that no key has many."""
+    key = hashlib.blake2b(b"%b:%d:%d" % (digest, start, stop), digest_size=8).digest()
+    return int.from_bytes(key, "big", signed=True) & ~1 | kind, digest, start, None, None, stop
+
+
+def _surroundings(texts: DataFrame, wanted: str) -> DataFrame:
     """Rows with a hash: an anchor's surroundings (pos, left, right), each only once in a task; or a span known as repeated (pos, until)."""
-    reach = LENGTH - GRAM
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, list] = {}
         for b in slices(batches, 64):
             out: list[tuple] = []
-            for digest, text, wanted in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                data = (text.as_py() or "").encode()
-                pos, h = anchors(data)
-                use = np.isin(h, np.array(wanted.as_py(), np.int64))
-                known: list[tuple[int, int]] = []
-                for p, k in zip(pos[use].tolist(), h[use].tolist(), strict=True):
-                    left, right = data[max(0, p - reach) : p], data[p : p + LENGTH]
-                    name = hashlib.blake2b(len(left).to_bytes(2, "big") + left + right, digest_size=16).digest()
-                    first = seen.get(name)
-                    if first is None:
-                        seen[name] = [digest, p, False]
-                        out.append((k, digest, p, left[::-1], right, None))
-                    elif (first[0], first[1]) != (digest, p) and len(left) + len(right) >= LENGTH:
-                        known.append((p - len(left), p + len(right)))
-                        if not first[2]:
-                            first[2] = True
-                            out.append((p, first[0], first[1] - len(left), None, None, first[1] + len(right)))
-                out += [(a, digest, a, None, None, z) for a, z in _merged(known)]
+            for digest, text, hashes in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                whole, use = (text.as_py() or "").encode(), np.array(hashes.as_py(), np.int64)
+                for scale in SCALES:
+                    own = use[use & 1 == scale.kind]
+                    if not own.size:
+                        continue
+                    units = units_of(whole, scale)
+                    pos, h = anchors(units, scale)
+                    data = whole if scale.unit == 1 else units.astype("<u4").tobytes()
+                    at = np.isin(h, own)
+                    known: list[tuple[int, int]] = []
+                    for p, k in zip((pos[at] * scale.unit).tolist(), h[at].tolist(), strict=True):
+                        left, right = data[max(0, p - scale.reach) : p], data[p : p + scale.size]
+                        name = hashlib.blake2b(b"%d:%d:" % (scale.kind, len(left)) + left + right, digest_size=16).digest()
+                        first = seen.get(name)
+                        if first is None:
+                            seen[name] = [digest, p, False]
+                            out.append((k, digest, p, left[::-1], right, None))
+                        elif (first[0], first[1]) != (digest, p) and len(left) + len(right) >= scale.size:
+                            known.append((p - len(left), p + len(right)))
+                            if not first[2]:
+                                first[2] = True
+                                out.append(_known(scale.kind, first[0], first[1] - len(left), first[1] + len(right)))
+                    out += [_known(scale.kind, digest, a, z) for a, z in _merged(known)]
+            if len(seen) > REMEMBERED:
+                seen.clear()
             if out:
-                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["h", "digest", "pos", "left", "right", "until"])
+                yield _batch(out, _ROW)
 
-    return map_arrow(texts.select("digest", "text", "wanted"), work, "h long, digest binary, pos long, left binary, right binary, until long")
+    return map_arrow(texts.select("digest", "text", wanted), work, _ROW_SCHEMA)
+
+
+_SPAN = {"digest": pa.binary(), "kind": pa.int32(), "start": pa.int64(), "stop": pa.int64()}
+_SPAN_SCHEMA = "digest binary, kind int, start long, stop long"
 
 
 def _spans(met: DataFrame) -> DataFrame:
-    """digest, start, stop: repeated spans, from rows sorted by hash."""
+    """digest, kind, start, stop: repeated spans, from rows sorted by hash."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group, out = None, [], []
 
-        def made() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["digest", "start", "stop"])
-            out.clear()
-            return batch
+        def close() -> None:
+            if len(group) > 1:
+                scale = SCALES[now & 1]
+                out.extend((t, scale.kind, a, z) for t, a, z in _group(group, scale))
 
         for b in slices(batches):
             for h, digest, pos, left, right, until in zip(*[b.column(i).to_pylist() for i in range(6)], strict=True):
                 if until is not None:
-                    out.append((digest, pos, until))
+                    out.append((digest, h & 1, pos, until))
                     continue
                 if h != now:
-                    if len(group) > 1:
-                        out.extend(_group(group))
+                    close()
                     now, group = h, []
                 group.append((digest, pos, left, right))
             if len(out) > 10_000:
-                yield made()
-        if len(group) > 1:
-            out.extend(_group(group))
+                yield _batch(out, _SPAN)
+                out.clear()
+        close()
         if out:
-            yield made()
+            yield _batch(out, _SPAN)
+
+    return map_arrow(met, work, _SPAN_SCHEMA)
+
 
-    return map_arrow(met, work, "digest binary, start long, stop long")
+def _dealt(key: int, side: bytes, prefix: bytes) -> int:
+    name = hashlib.blake2b(key.to_bytes(8, "big", signed=True) + side + prefix, digest_size=8).digest()
+    return int.from_bytes(name, "big", signed=True) & ~1 | (key & 1)
+
+
+def _against_pivots(rows: DataFrame) -> DataFrame:
+    """Rows (h, digest, pos, left, right, lo, hi, pivot) with their group's pivot: spans shared with it (until), and what is left to find, under new keys.
+
+    lo and hi bound the shifts not settled yet. A shift beyond the bytes that a row shares with the pivot to the left is
+    shared only with rows that share those and one more; likewise to the right. So no link is lost.
+    """
+    kinds = _ROW | {"lo": pa.int64(), "hi": pa.int64()}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[tuple] = set()
+        for b in slices(batches):
+            out: list[tuple] = []
+            for h, digest, pos, left, right, lo, hi, pivot in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (digest, pos) == (pivot["digest"], pivot["pos"]):
+                    continue
+                scale = SCALES[h & 1]
+                a, z = common_prefix(left, pivot["left"]), common_prefix(right, pivot["right"])
+                for first, last in _aligned([(max(lo, scale.size - z), min(hi, a))], scale) if scale.size - z <= a else []:
+                    if first <= last:
+                        out.append((*_known(scale.kind, digest, pos - last, pos - first + scale.size), None, None))
+                        span = _known(scale.kind, pivot["digest"], pivot["pos"] - last, pivot["pos"] - first + scale.size)
+                        if span not in told:
+                            told.add(span)
+                            out.append((*span, None, None))
+                if a < min(len(left), hi):
+                    out.append((_dealt(h, b"l", left[: a + 1]), digest, pos, left, right, None, max(lo, a + 1), hi))
+                if z < len(right) and scale.size - z - 1 >= lo:
+                    out.append((_dealt(h, b"r", right[: z + 1]), digest, pos, left, right, None, lo, min(hi, scale.size - z - 1)))
+            if len(told) > REMEMBERED:
+                told.clear()
+            if out:
+                yield _batch(out, kinds)
+
+    return map_arrow(rows, work, _ROW_SCHEMA + ", lo long, hi long")
+
+
+def peel(rows: DataFrame, hot: int | None = None) -> list[DataFrame]:
+    """Surroundings in groups of any size as staged tables of ``_ROW``: groups of at most ``hot`` rows, and known spans."""
+    hot = HOT if hot is None else hot
+    columns = list(_ROW)
+    size = F.when(F.col("h").bitwiseAND(F.lit(1)) == 0, F.lit(SCALES[0].size)).otherwise(F.lit(SCALES[1].size)).cast("long")
+    now = stage(rows.select("*", F.greatest(F.lit(0), size - F.length("right")).alias("lo"), F.length("left").cast("long").alias("hi")), "hot0")
+    out = [now.where("until is not null").select(columns)]
+    now = now.where("until is null")
+    for n in range(1, 2 * LENGTH + 1):
+        sizes = now.groupBy("h").agg(F.count("*").alias("n"), F.min_by(F.struct("digest", "pos", "left", "right"), F.struct(F.xxhash64("h", "digest", "pos"), "digest", "pos")).alias("pivot"))
+        large = stage(sizes.where(F.col("n") > hot).select("h", "pivot"), f"pivots{n}")
+        out.append(now.join(sizes.where((F.col("n") > 1) & (F.col("n") <= hot)).select("h"), "h").select(columns))
+        if large.isEmpty():
+            return out
+        met = now.join(large, "h").select("h", "digest", "pos", "left", "right", "lo", "hi", "pivot")
+        now = stage(_against_pivots(met), f"hot{n}")
+        out.append(now.where("until is not null").select(columns))
+        now = now.where("until is null")
+    raise RuntimeError("groups did not settle")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """digest, n_removed, n_spans, kept_sha256, kept (the text without its repeated bytes, as UTF-8 bytes)."""
+    """digest, n_removed, n_spans, kept_sha256 (of the text without its repeated bytes), n_passage_words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 64):
-            removed, spans, sha = [], [], []
+            removed, spans, sha, words = [], [], [], []
             for text, found in zip(b.column(1), b.column(2), strict=True):
                 data, at, rest = (text.as_py() or "").encode(), 0, []
-                cut = _merged([(x["start"], x["stop"]) for x in found.as_py()])
+                by_kind = [[(x["start"], x["stop"]) for x in found.as_py() if x["kind"] == scale.kind] for scale in SCALES]
+                cut = _merged(by_kind[0])
                 for a, z in cut:
                     rest.append(data[at:a])
                     at = z
@@ -365,35 +508,44 @@ def _cut(texts: DataFrame) -> DataFrame:
                 removed.append(sum(z - a for a, z in cut))
                 spans.append(len(cut))
                 sha.append(hashlib.sha256(b"".join(rest)).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha)], names=["digest", "n_removed", "n_spans", "kept_sha256"])
+                words.append(sum(z - a for a, z in _merged(by_kind[1])) // SCALES[1].unit)
+            columns = [pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha), pa.array(words, pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["digest", "n_removed", "n_spans", "kept_sha256", "n_passage_words"])
 
-    return map_arrow(texts, work, "digest binary, n_removed long, n_spans long, kept_sha256 string")
+    return map_arrow(texts, work, "digest binary, n_removed long, n_spans long, kept_sha256 string, n_passage_words long")
 
 
 def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Staged tables: every row with its digest; texts that share something, once each; their repeated spans."""
     rows = stage(_all_anchors(docs), "anchors")
-    texts = stage(rows.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.first("hashes").alias("hashes"), F.first("twice").alias("twice")), "texts")
-    once = texts.select(F.explode("hashes").alias("h"), F.lit(1).alias("n")).union(texts.select(F.explode("twice").alias("h"), F.lit(1).alias("n")))
-    shared = stage(once.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "shared")
-    wanted = texts.select("digest", "first_id", F.explode("hashes").alias("h")).join(shared, "h").groupBy("digest", "first_id").agg(F.collect_list("h").alias("wanted"))
+    texts = stage(rows.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.first("hashes").alias("hashes"), F.first("again").alias("again")), "texts")
+    once = texts.select(F.explode("hashes").alias("h"), F.lit(1).alias("n")).union(texts.select(F.explode("again").alias("h"), F.lit(1).alias("n")))
+    shared = stage(once.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h", (F.col("n") > HOT).alias("hot")), "shared")
+    met = texts.select("digest", "first_id", F.explode("hashes").alias("h")).join(shared, "h")
+    wanted = met.groupBy("digest", "first_id").agg(F.collect_list(F.when(~F.col("hot"), F.col("h"))).alias("wanted"), F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"))
     own = docs.select("doc_id", "text", _digest().alias("digest")).withColumnRenamed("digest", "d")
     on = (F.col("d") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    sharing = stage(own.join(wanted, on).select("digest", "text", "wanted"), "sharing")
-    met = _surroundings(sharing).repartition("h").sortWithinPartitions("h")
-    spans = stage(_spans(met).groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
+    sharing = stage(own.join(wanted, on).select("digest", "text", "wanted", "hot"), "sharing")
+    met = _surroundings(sharing.where(F.size("wanted") > 0), "wanted")
+    if not shared.where("hot").isEmpty():
+        for part in peel(_surroundings(sharing.where(F.size("hot") > 0), "hot")):
+            met = met.union(part)
+    met = met.repartition("h").sortWithinPartitions("h")
+    spans = stage(_spans(met).groupBy("digest").agg(F.collect_list(F.struct("kind", "start", "stop")).alias("spans")), "spans")
     return rows.join(texts.select("digest", "copies"), "digest"), sharing, spans
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words of every row."""
     rows, sharing, spans = repeated(docs)
     cut = stage(_cut(sharing.select("digest", "text").join(spans, "digest")).dropDuplicates(["digest"]), "cut")
-    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
-    found = rows.select("doc_id", "digest", "n_bytes", "sha256", "copies").join(cut, "digest", "left")
+    found = rows.select("doc_id", "digest", "n_bytes", "n_words", "sha256", "copies").join(cut, "digest", "left")
 
-    def pick(all_gone: Column, none: Column, name: str) -> Column:
-        return F.when(whole, all_gone).otherwise(F.coalesce(F.col(name), none)).alias(name)
+    def pick(all_gone: Column, none: Column, name: str, whole: Column) -> Column:
+        return F.when((F.col("copies") > 1) & whole, all_gone).otherwise(F.coalesce(F.col(name), none)).alias(name)
 
-    zero = F.lit(0).cast("long")
-    return found.select("doc_id", "n_bytes", pick(F.col("n_bytes"), zero, "n_removed"), pick(F.lit(1).cast("long"), zero, "n_spans"), pick(F.sha2(F.lit(""), 256), F.col("sha256"), "kept_sha256"))
+    zero, whole = F.lit(0).cast("long"), F.col("n_bytes") >= LENGTH
+    return found.select(
+        "doc_id", "n_bytes", pick(F.col("n_bytes"), zero, "n_removed", whole), pick(F.lit(1).cast("long"), zero, "n_spans", whole),
+        pick(F.sha2(F.lit(""), 256), F.col("sha256"), "kept_sha256", whole), pick(F.col("n_words"), zero, "n_passage_words", F.col("n_words") >= WORDS),
+    )

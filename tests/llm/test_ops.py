@@ -104,18 +104,49 @@ def test_links_are_the_same_from_any_order(spark):
     assert parts[0] == parts[1]
 
 
-def test_suffix_dedup(docs):
-    data = [(r[1] or "").encode() for r in corpus()]
+def cut_by_brute_force(rows):
+    """op3's rows: bytes of 400-byte strings that also start elsewhere, words of 50-word strings that do."""
+    data = [(t or "").encode() for _, t in rows]
+    split = [d.split() for d in data]
     seen = Counter(d[i : i + 400] for d in data for i in range(len(d) - 399))
+    runs = Counter(tuple(w[i : i + 50]) for w in split for i in range(len(w) - 49))
     want = Counter()
-    for r, d in zip(corpus(), data, strict=True):
+    for (i, _), d, w in zip(rows, data, split, strict=True):
         gone = bytearray(len(d))
-        for i in range(len(d) - 399):
-            if seen[d[i : i + 400]] > 1:
-                gone[i : i + 400] = b"\1" * 400
+        for k in range(len(d) - 399):
+            if seen[d[k : k + 400]] > 1:
+                gone[k : k + 400] = b"\1" * 400
         kept = bytes(x for x, g in zip(d, gone, strict=True) if not g)
-        want[r[0], len(d), sum(gone), len([x for x in bytes(gone).split(b"\0") if x]), hashlib.sha256(kept).hexdigest()] += 1
-    assert Counter(map(tuple, suffix_dedup.dedup(docs).collect())) == want
+        held = {p for k in range(len(w) - 49) if runs[tuple(w[k : k + 50])] > 1 for p in range(k, k + 50)}
+        want[i, len(d), sum(gone), len([x for x in bytes(gone).split(b"\0") if x]), hashlib.sha256(kept).hexdigest(), len(held)] += 1
+    return want
+
+
+@pytest.mark.parametrize("hot", [512, 2])
+def test_suffix_dedup(docs, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    assert Counter(map(tuple, suffix_dedup.dedup(docs).collect())) == cut_by_brute_force([r[:2] for r in corpus()])
+
+
+def test_suffix_dedup_of_a_passage_with_many_neighbours(spark, monkeypatch):
+    """Near copies and one passage between different words: no key holds more than the bound, and results are brute force's."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 8)
+    rng = random.Random(6)
+    own = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    near = own(160).split()
+    rows = [own(rng.randint(0, 30)) + " " + PASSAGE[:560] + " " + own(rng.randint(0, 30)) for _ in range(60)]
+    for i in range(80):
+        w = list(near)
+        for _ in range(3):
+            w[rng.randrange(len(w))] = own(1)
+        rows.append(" ".join(w))
+    rows += ["ab" * 700, "ab" * 650 + "c", "ab" * 300 + "c" + "ab" * 300]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(12)
+    met = []
+    real = suffix_dedup._spans
+    monkeypatch.setattr(suffix_dedup, "_spans", lambda df: met.append(df) or real(df))
+    assert Counter(map(tuple, suffix_dedup.dedup(docs).collect())) == cut_by_brute_force(list(enumerate(rows)))
+    assert met[0].groupBy("h").count().agg({"count": "max"}).first()[0] <= 8
 
 
 def test_deep_shallow_sort():
