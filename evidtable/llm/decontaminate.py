@@ -1,26 +1,28 @@
 """Benchmark decontamination with a positional inverted index.
 
-``build_index`` stores the postings of the training words that test texts use: documents are grouped into small index
-shards, and a shard holds, for each term, the sorted positions of the term (documents lie one behind the other with a
-gap that no phrase bridges). ``search`` orders the terms of each test window by their frequency over the whole corpus,
-shifts the postings of its rarest term by the term's offset, and intersects them with the shifted postings of the next
-rarest terms, all windows at once. Equal positions are exact phrase matches; positions within a slop are proximity
-matches. Only test vocabulary and windows go to the executors, in blocks of at most ``BLOCK_CHARS`` characters of test
-text; a larger test set takes more blocks, and their results are merged by document.
-
-Defined results: a null or wordless document has no words and is clean; a null or wordless test text, and a test row
-with a null id, has no window; test rows that repeat an id count as one item; repeated documents each get a row; an
-empty test table leaves every document clean; other columns are not read.
+``build_index`` stores the postings of all training words, once for any test set: documents are grouped into small index
+shards, and a shard holds, for each term (its XXH64), the sorted positions of the term (documents lie one behind the
+other with a gap that no phrase bridges). ``search`` orders the terms of each test window by their frequency over the
+whole corpus, shifts the postings of its rarest term by the term's offset, and intersects them with the shifted postings
+of the next rarest terms, all windows at once. Equal positions are exact phrase matches; positions within a slop are
+proximity matches (each term within ``SLOP`` of its place, so every exact match is one too). Only test vocabulary and
+windows go to the executors, in blocks of at most ``BLOCK_CHARS`` characters of test text; each further block searches
+the same index, and hits are merged by (shard, place), which every row has of its own.
+
+Defined results: a null or wordless document has no words and is clean; a null or wordless test text has no window; the
+windows of a test row with a null id count as hits and contaminate, but it has no id to report, so it isn't among the
+items; test rows that repeat an id are one item; repeated documents and null ids each get their own row; an empty test
+table leaves every document clean; a long text fills a shard by itself; other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep_columns, map_arrow, slices, stage
@@ -37,13 +39,18 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLD).split()
 
 
+def term(word: bytes) -> int:
+    """A word's name in the index."""
+    return xxhash.xxh64_intdigest(word)
+
+
 class Queries:
-    """Test windows of a block: term numbers, and for each window its terms with offsets."""
+    """Test windows of a block: term numbers, and for each window its terms with offsets; item None has no id."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW) -> None:
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW) -> None:
         self.terms: dict[bytes, int] = {}
-        self.items: list[str] = []
-        number: dict[str, int] = {}
+        self.items: list[str | None] = []
+        number: dict[str | None, int] = {}
         rows, owner = [], []
         for item, text in items:
             w = [self.terms.setdefault(x, len(self.terms)) for x in words(text)]
@@ -61,6 +68,17 @@ class Queries:
         for i, r in enumerate(rows):
             self.grid[i, : len(r)] = r
         self.width = window
+        names = np.fromiter(map(term, self.terms), np.uint64, len(self.terms))
+        self.number = np.argsort(names, kind="stable")
+        self.names = names[self.number]
+
+    def found_in(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in sorted ``names`` of a shard that this block asks for, and the numbers of their terms."""
+        if not len(self.names) or not len(names):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(names, self.names), len(names) - 1)
+        own = names[at] == self.names
+        return at[own], self.number[own]
 
     def rank(self, frequency: np.ndarray) -> None:
         """Offsets of each window's terms from the rarest on, and the windows by their rarest term."""
@@ -71,65 +89,70 @@ class Queries:
         self.term_of = rarest[self.by_term]
 
 
-def build_index(docs: DataFrame, queries: Queries, window: int = WINDOW, slop: int = SLOP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row for each shard: doc_ids, n_words, terms (sorted), counts, postings (little-endian int32, term by term)."""
+def build_index(docs: DataFrame, window: int = WINDOW, slop: int = SLOP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """One row for each shard: shard, doc_ids, n_words, terms (sorted little-endian uint64), counts (int32), postings (int32, term by term)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(queries.terms)
     gap = window + slop + 1
 
-    def shard(ids: list, texts: list[list[bytes]], number: dict[bytes, int]) -> tuple:
-        get = number.get
-        parts, at = [], 0
-        terms, where = [], []
-        for w in texts:
-            t = np.fromiter((get(x, -1) for x in w), np.int64, len(w))
-            i = np.flatnonzero(t >= 0)
-            terms.append(t[i])
-            where.append(i + at)
-            parts.append(len(w))
-            at += len(w) + gap
-        t, p = np.concatenate(terms), np.concatenate(where)
-        order = np.argsort(t, kind="stable")
-        own, counts = np.unique(t, return_counts=True)
-        return ids, parts, own.tolist(), counts.tolist(), p[order].astype("<i4").tobytes()
+    def made(ids: list, texts: list[list[bytes]], kind: pa.DataType) -> pa.RecordBatch:
+        number: dict[bytes, int] = {}
+        sizes = [len(w) for w in texts]
+        t = np.fromiter((number.setdefault(x, len(number)) for w in texts for x in w), np.int64, sum(sizes))
+        starts = np.concatenate([[0], np.cumsum(np.array(sizes[:-1], np.int64) + gap)]) if sizes else np.zeros(0, np.int64)
+        p = np.arange(len(t)) + np.repeat(starts - np.concatenate([[0], np.cumsum(sizes[:-1])]).astype(np.int64), sizes)
+        names = np.fromiter(map(term, number), np.uint64, len(number))
+        order = np.argsort(names, kind="stable")
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        t = place[t]
+        counts = np.bincount(t, minlength=len(names))
+        row = ids, sizes, names[order].astype("<u8").tobytes(), counts.astype("<i4").tobytes(), p[np.argsort(t, kind="stable")].astype("<i4").tobytes()
+        types = pa.list_(kind), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()
+        return pa.RecordBatch.from_arrays([pa.array([x], y) for x, y in zip(row, types, strict=True)], names=["doc_ids", "n_words", "terms", "counts", "postings"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = shared.value
-        ids, texts, held, types = [], [], 0, None
-
-        def made() -> pa.RecordBatch:
-            row = shard(ids, texts, number)
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=["doc_ids", "n_words", "terms", "counts", "postings"])
-
+        ids, texts, held, of = [], [], 0, None
         for b in slices(batches):
-            types = [pa.list_(b.column(0).type), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary()]
+            of = b.column(0).type
             for i, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 text = x.as_py() or ""
                 ids.append(i)
                 texts.append(words(text))
                 held += len(text)
                 if held >= shard_bytes:
-                    yield made()
+                    yield made(ids, texts, of)
                     ids, texts, held = [], [], 0
         if ids:
-            yield made()
+            yield made(ids, texts, of)
 
-    return map_arrow(docs.select("doc_id", "text"), work, f"doc_ids array<{kind}>, n_words array<long>, terms array<int>, counts array<long>, postings binary")
+    found = map_arrow(docs.select("doc_id", "text"), work, f"doc_ids array<{kind}>, n_words array<long>, terms binary, counts binary, postings binary")
+    return found.withColumn("shard", F.monotonically_increasing_id())
 
 
-def frequencies(index: DataFrame, n_terms: int) -> np.ndarray:
+def frequencies(index: DataFrame, queries: Queries) -> np.ndarray:
     """How often each test term occurs in the corpus; at most as many rows as a block of test text has words."""
-    out = np.zeros(n_terms, np.int64)
-    for r in index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).groupBy("x.terms").agg(F.sum("x.counts").alias("n")).toLocalIterator():
-        out[r["terms"]] = r["n"]
+    shared = index.sparkSession.sparkContext.broadcast(queries)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(shared.value.names), np.int64)
+        for b in batches:
+            for names, counts in zip(b.column(0), b.column(1), strict=True):
+                at, own = shared.value.found_in(np.frombuffer(names.as_buffer(), "<u8"))
+                total[own] += np.frombuffer(counts.as_buffer(), "<i4")[at]
+        own = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["term", "n"])
+
+    out = np.zeros(len(queries.names), np.int64)
+    for r in map_arrow(index.select("terms", "counts"), work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator():
+        out[r["term"]] = r["n"]
     return out
 
 
-def matches(q: Queries, terms: np.ndarray, counts: np.ndarray, postings: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """(window, start) of every window whose terms all occur within ``slop`` of their place; 0: exact phrases."""
+def matches(q: Queries, terms: np.ndarray, counts: np.ndarray, postings: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, start, place of its rarest term) of every window whose rarest term stands at its place and the others within ``slop`` of theirs; 0: exact phrases."""
     none = np.zeros(0, np.int64)
     if not len(terms) or not len(q.grid):
-        return none, none
+        return none, none, none
     base = int(postings.max()) + q.width + slop + 2
     keys = np.repeat(terms, counts) * base + postings  # sorted: term by term, positions rising
     first = np.searchsorted(q.term_of, terms, "left")
@@ -156,28 +179,36 @@ def matches(q: Queries, terms: np.ndarray, counts: np.ndarray, postings: np.ndar
             w, starts = w[ok], starts[ok]
             if not len(w):
                 break
-        ok = starts >= 0
-        found_w.append(w[ok])
-        found_s.append(starts[ok])
-    return (np.concatenate(found_w), np.concatenate(found_s)) if found_w else (none, none)
+        found_w.append(w)
+        found_s.append(starts)
+    if not found_w:
+        return none, none, none
+    w, starts = np.concatenate(found_w), np.concatenate(found_s)
+    return w, starts, starts + q.order[w, 0]
 
 
-def search(index: DataFrame, queries: Queries, slop: int = SLOP, gap: int | None = None) -> DataFrame:
-    """doc_id, n_words, spans (array of start, end in words: exact matches merged), items, near_items (sorted ids), for every document of the index."""
+def search(index: DataFrame, queries: Queries, slop: int = SLOP) -> DataFrame:
+    """shard, place, doc_id, n_words, spans (array of start, end in words: exact matches merged), items, near_items (sorted ids), for every document of the index."""
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     shared = index.sparkSession.sparkContext.broadcast(queries)
-    gap = queries.width + SLOP + 1 if gap is None else gap
+    gap = queries.width + SLOP + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shared.value
         for b in batches:
             for r in range(b.num_rows):
-                ids, sizes = b.column(0)[r].values, np.array(b.column(1)[r].as_py(), np.int64)
-                terms, counts = (np.array(b.column(c)[r].as_py(), np.int64) for c in (2, 3))
-                postings = np.frombuffer(b.column(4)[r].as_buffer(), "<i4").astype(np.int64)
+                shard, ids, sizes = b.column(0)[r].as_py(), b.column(1)[r].values, np.array(b.column(2)[r].as_py(), np.int64)
+                names, every, places = (np.frombuffer(b.column(c)[r].as_buffer(), t) for c, t in ((3, "<u8"), (4, "<i4"), (5, "<i4")))
+                begin = np.concatenate([[0], np.cumsum(every, dtype=np.int64)])
+                at, terms = q.found_in(names)
+                order = np.argsort(terms)
+                at, terms = at[order], terms[order]
+                counts = every[at].astype(np.int64)
+                take = np.repeat(begin[at] - np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64), counts) + np.arange(counts.sum()) if len(at) else at
+                postings = places[take].astype(np.int64)
                 start = np.concatenate([[0], np.cumsum(sizes + gap)])
-                w, s = matches(q, terms, counts, postings, 0)
-                wn, sn = matches(q, terms, counts, postings, slop) if slop else (w, s)
+                w, s, _ = matches(q, terms, counts, postings, 0)
+                wn, _, rarest = matches(q, terms, counts, postings, slop) if slop else (w, s, s)
                 spans: list[list] = [[] for _ in sizes]
                 items: list[set] = [set() for _ in sizes]
                 near: list[set] = [set() for _ in sizes]
@@ -192,22 +223,27 @@ def search(index: DataFrame, queries: Queries, slop: int = SLOP, gap: int | None
                         spans[d][-1][1] = max(z, spans[d][-1][1])
                     else:
                         spans[d].append([a, z])
-                for d, i in set(zip((np.searchsorted(start, sn, "right") - 1).tolist(), q.owner[wn].tolist(), strict=True)):
+                for d, i in set(zip((np.searchsorted(start, rarest, "right") - 1).tolist(), q.owner[wn].tolist(), strict=True)):
                     near[d].add(i)
                 struct = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-                name = lambda x: sorted(q.items[i] for i in x)
+                told = lambda x: sorted(q.items[i] for i in x if q.items[i] is not None)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sizes), pa.array([[{"start": a, "end": z} for a, z in x] for x in spans], struct), pa.array([name(x) for x in items], pa.list_(pa.string())), pa.array([name(x) for x in near], pa.list_(pa.string()))],
-                    names=["doc_id", "n_words", "spans", "items", "near_items"],
-                )
+                    [
+                        pa.array([shard] * len(sizes), pa.int64()), pa.array(range(len(sizes)), pa.int64()), ids, pa.array(sizes), pa.array([[{"start": a, "end": z} for a, z in x] for x in spans], struct),
+                        pa.array([told(x) for x in items], pa.list_(pa.string())), pa.array([told(x) for x in near], pa.list_(pa.string())),
+                    ],
+                    names=["shard", "place", "doc_id", "n_words", "spans", "items", "near_items"],
+                )
 
-    return map_arrow(index, work, f"doc_id {kind}, n_words long, spans array<struct<start:long,end:long>>, items array<string>, near_items array<string>")
+    columns = index.select("shard", "doc_ids", "n_words", "terms", "counts", "postings")
+    return map_arrow(columns, work, f"shard long, place long, doc_id {kind}, n_words long, spans array<struct<start:long,end:long>>, items array<string>, near_items array<string>")
 
 
-def blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[str, str]]]:
+def blocks(benchmark: DataFrame, chars: int | None = None) -> Iterator[list[tuple[str | None, str]]]:
     """Test items in blocks of bounded size, streamed from the cluster one partition at a time."""
+    chars = BLOCK_CHARS if chars is None else chars
     held, size = [], 0
-    for r in benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("i"), "text").toLocalIterator():
+    for r in benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("i"), "text").toLocalIterator():
         held.append((r["i"], r["text"]))
         size += len(r["text"])
         if size >= chars:
@@ -217,29 +253,37 @@ def blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tupl
         yield held
 
 
+def _merged_spans(every: Column) -> Column:
+    """Sorted spans, those that touch as one."""
+    last = lambda acc: F.try_element_at(acc, F.lit(-1))
+    longer = lambda acc, x: F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last(acc)["start"].alias("start"), F.greatest(last(acc)["end"], x["end"]).alias("end"))))
+    return F.aggregate(every, F.array().cast("array<struct<start:long,end:long>>"), lambda acc, x: F.when((F.size(acc) > 0) & (last(acc)["end"] >= x["start"]), longer(acc, x)).otherwise(F.concat(acc, F.array(x))))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, slop: int = SLOP) -> DataFrame:
-    """``search`` over all test items. With more than one block, rows of a document are merged by its id and words, each repeat of a row with it."""
+    """doc_id, n_words, spans, items, near_items of every row of ``docs``, over all test items."""
+    index = stage(build_index(docs), "index")
     found = []
     for part in blocks(benchmark):
         q = Queries(part)
-        index = stage(build_index(docs, q), "index")
-        q.rank(frequencies(index, len(q.terms)))
+        q.rank(frequencies(index, q))
         found.append(search(index, q, slop))
     if not found:
         q = Queries([])
         q.rank(np.zeros(0, np.int64))
-        return search(build_index(docs, q), q, 0)
-    out = found[0]
-    if len(found) > 1:
-        parts = [f.select("*", F.lit(i).alias("block")) for i, f in enumerate(found)]
-        for p in parts[1:]:
-            parts[0] = parts[0].union(p)
-        every = F.array_sort(F.flatten(F.collect_list("spans")))
-        merged = F.aggregate(every, F.array().cast("array<struct<start:long,end:long>>"), lambda acc, x: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= x["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))))
-        ids = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-        grouped = parts[0].groupBy("doc_id", "n_words").agg(merged.alias("spans"), ids("items"), ids("near_items"), F.sum((F.col("block") == 0).cast("int")).alias("copies"))
-        out = grouped.select(F.explode(F.sequence(F.lit(1), "copies")), "doc_id", "n_words", "spans", "items", "near_items").drop("col")
-    return out
+        found.append(search(index, q, 0))
+    columns = ("doc_id", "n_words", "spans", "items", "near_items")
+    if len(found) == 1:
+        return found[0].select(*columns)
+    hits = [stage(f.where("size(spans) > 0 or size(near_items) > 0").select("shard", "place", "spans", "items", "near_items"), "hits") for f in found]
+    for more in hits[1:]:
+        hits[0] = hits[0].union(more)
+    ids = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    merged = hits[0].groupBy("shard", "place").agg(_merged_spans(F.array_sort(F.flatten(F.collect_list("spans")))).alias("spans"), ids("items"), ids("near_items"))
+    every = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("place", "d")).select("shard", F.col("place").cast("long").alias("place"), "d.*")
+    kinds = dict(found[0].dtypes)
+    held = [F.coalesce(F.col(c), F.array().cast(kinds[c])).alias(c) for c in columns[2:]]
+    return every.join(merged, ["shard", "place"], "left").select(F.col("doc_ids").alias("doc_id"), "n_words", *held)
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -249,7 +293,9 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a phrase of ``benchmark``; rows that share an id with a contaminated one go with it, null ids are judged apart by nothing and stay."""
-    bad = stage(contamination(docs, benchmark, 0).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id")).where("_id is not null").distinct(), "contaminated")
-    packed = keep_columns(docs).withColumn("_id", F.col("row.doc_id"))
-    return packed.join(bad, "_id", "left_anti").select("row.*")
+    """The rows of ``docs`` without a phrase of ``benchmark``. Rows are judged by their text alone, whatever their id."""
+    name = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    found = contamination(docs.select(name.alias("doc_id"), "text"), benchmark, 0)
+    bad = stage(found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_text")).distinct(), "contaminated")
+    packed = keep_columns(docs).withColumn("_text", F.unhex(F.sha2(F.coalesce(F.col("row.text"), F.lit("")), 256)))
+    return packed.join(bad, "_text", "left_anti").select("row.*")

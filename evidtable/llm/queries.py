@@ -67,16 +67,25 @@ _WORDS1 = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEF
 
 OP1_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS1} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS1} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS1} AS w FROM benchmark),
 q AS (SELECT DISTINCT item, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s FROM b, unnest(range(1, greatest(len(w) - least(10, len(w)), 0) + 2)) t(i) WHERE len(w) > 0),
 ks AS (SELECT DISTINCT k FROM q),
 dw AS (SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM d, ks, unnest(range(1, greatest(CAST(len(w) - k + 2 AS BIGINT), 1))) t(i)),
 hit AS (SELECT r, i, dw.k, item FROM dw JOIN q ON dw.k = q.k AND dw.s = q.s),
 n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY r),
-it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r),
+qn AS (SELECT row_number() OVER () AS qid, item, k, string_split(s, ' ') AS ws FROM q WHERE item IS NOT NULL),
+wt AS (SELECT qid, item, k, unnest(ws) AS term, unnest(range(len(ws))) AS o FROM qn),
+ps AS (SELECT r, unnest(w) AS term, unnest(range(len(w))) AS p FROM d),
+fr AS (SELECT term, count(*) AS f FROM ps GROUP BY term),
+ra AS (SELECT qid, arg_min(o, 100 * coalesce(f, 0) + o) AS o, arg_min(term, 100 * coalesce(f, 0) + o) AS term FROM wt LEFT JOIN fr USING (term) GROUP BY qid),
+st AS (SELECT qid, r, p - o AS s FROM ra JOIN ps USING (term)),
+ok AS (SELECT st.qid, item, st.r, s FROM st JOIN wt ON st.qid = wt.qid JOIN ps ON ps.r = st.r AND ps.term = wt.term AND ps.p BETWEEN s + wt.o - {decontaminate.SLOP} AND s + wt.o + {decontaminate.SLOP}
+  GROUP BY ALL HAVING count(DISTINCT wt.o) = max(wt.k)),
+near AS (SELECT r, count(DISTINCT item) AS n_near FROM ok GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(it.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_items, 0) AS BIGINT) AS n_near_items
-FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)
+  sha256(coalesce(it.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near_items
+FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r) LEFT JOIN near USING (r)
 """
 
 _ESC = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), ']', '&rsqb;')"

@@ -177,32 +177,51 @@ def test_tokens_and_packing(docs):
     assert len(bins) <= 1.15 * sum(bins.values()) / 128 + 2
 
 
-def test_decontaminate(spark, docs):
-    items = [(1, PASSAGE), (2, "not anywhere at all but here"), (3, None), (4, ""), (None, PASSAGE), (5, corpus()[2][1] or "zz"), (1, PASSAGE)]
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    found = {(r["doc_id"], r["n_words"]): r for r in decontaminate.report(decontaminate.contamination(docs, bench)).collect()}
+def contaminated_by_brute_force(rows, items, slop):
+    """Counter of (doc_id, n_words, n_hit, items, near items): a near window has each word within slop of its place."""
     win = {}
     for i, t in items:
         w = decontaminate.words(t)
         k = min(10, len(w))
-        for at in range(len(w) - k + 1 if w and i is not None else 0):
-            win.setdefault(tuple(w[at : at + k]), set()).add(str(i))
-    for row in corpus():
-        w, hit, which = decontaminate.words(row[1]), set(), set()
-        for k in {len(x) for x in win}:
-            for at in range(len(w) - k + 1):
-                if own := win.get(tuple(w[at : at + k])):
-                    hit.update(range(at, at + k))
+        for at in range(len(w) - k + 1 if w else 0):
+            win.setdefault(tuple(w[at : at + k]), set()).add(None if i is None else str(i))
+    out = Counter()
+    often = Counter(x for _, t in rows for x in decontaminate.words(t))
+    for i, t in rows:
+        w, hit, which, near = decontaminate.words(t), set(), set(), set()
+        for terms, own in win.items():
+            for at in range(len(w)):
+                if tuple(w[at : at + len(terms)]) == terms:
+                    hit.update(range(at, at + len(terms)))
                     which |= own
-        r = found[row[0], len(w)]
-        assert (r["n_hit"], r["n_items"], r["items_sha256"]) == (len(hit), len(which), hashlib.sha256(",".join(sorted(which)).encode()).hexdigest())
-    old, decontaminate.BLOCK_CHARS = decontaminate.blocks.__defaults__, 10
-    decontaminate.blocks.__defaults__ = (10,)
-    try:
-        again = decontaminate.report(decontaminate.contamination(docs, bench)).drop("n_near_items").collect()
-    finally:
-        decontaminate.blocks.__defaults__ = old
-    assert {(r["doc_id"], r["n_words"]): (r["n_hit"], r["n_items"]) for r in again} == {k: (r["n_hit"], r["n_items"]) for k, r in found.items()}
+            rarest = min(range(len(terms)), key=lambda k: (often[terms[k]], k))
+            starts = [p - rarest for p, x in enumerate(w) if x == terms[rarest]]
+            if any(all(x in w[max(0, at + k - slop) : max(0, at + k + slop + 1)] for k, x in enumerate(terms)) for at in starts):
+                near |= own
+        out[i, len(w), len(hit), tuple(sorted(which - {None})), tuple(sorted(near - {None}))] += 1
+    return out
+
+
+def test_decontaminate(spark, monkeypatch):
+    other = PASSAGE.split()
+    swapped = other[50:54] + [other[55], other[54]] + other[56:60]
+    items = [(1, PASSAGE), (2, "not anywhere at all but here"), (3, None), (4, ""), (None, prose(12) + " unseen"), (5, corpus()[2][1] or "zz"), (1, PASSAGE), (6, " ".join(swapped)), (None, corpus()[3][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    clear = "ten words that no test text has in this order"
+    rows = [r[:2] for r in corpus()] + [(7, " ".join(other[:10])), (7, clear), (None, " ".join(other[:10])), (None, clear)]
+    every = spark.createDataFrame(rows, "doc_id long, text string")
+    want = contaminated_by_brute_force(rows, items, decontaminate.SLOP)
+    assert any(set(x[4]) > set(x[3]) for x in want)  # proximity finds what the swapped words hide
+    sha = lambda x: hashlib.sha256(",".join(x).encode()).hexdigest()
+    told = Counter()
+    for x, n in want.items():
+        told[(*x[:3], len(x[3]), sha(x[3]), x[2] > 0, len(x[4]))] += n
+    dirty = {(x[0], x[1]) for x in want if x[2]}
+    for chars in (decontaminate.BLOCK_CHARS, 1):  # one block, and as many as items
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARS", chars)
+        assert Counter(map(tuple, decontaminate.report(decontaminate.contamination(every, bench)).collect())) == told
+    clean = Counter(map(tuple, decontaminate.keep_clean(every, bench).collect()))
+    assert clean == Counter((i, t) for i, t in rows if t == clear or (i, len(decontaminate.words(t))) not in dirty)
 
 
 def test_pii(docs):
