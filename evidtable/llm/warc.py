@@ -8,7 +8,10 @@ pointer jumping over (file, offset) doubles the distance in each round and keeps
 
 Defined results: a null html is an empty payload; pages with equal payloads of at least ``MIN_REVISIT`` bytes revisit
 the smallest page id among them, every row with that id is a response; a page with a null id is always a response; a
-null url is left out; repeated rows are records each; an empty table gives no records; other columns are not read.
+null url is left out; repeated rows are records each; an empty table gives no records; other columns are not read. A
+page id of text is percent-encoded in its record, so any character comes back. A length that leads beyond its file, or
+of more than 18 digits, makes no candidate. A file holds at most ``RECORDS_PER_FILE`` records and, by the largest
+payload there is, at most ``FILE_BYTES`` before compression, unless a single record is larger.
 """
 
 from __future__ import annotations
@@ -29,7 +32,12 @@ from .common import map_arrow, new_path, slices, stage
 VERSION = "WARC/1.1"
 MIN_REVISIT = 0
 RECORDS_PER_FILE = 500
+#: Readers hold a whole file; Spark's own bound on a value is 2 GB.
+FILE_BYTES = 1 << 28
+#: More than any header written here has.
+HEAD_BYTES = 8192
 DATE = "2000-01-01T00:00:00Z"
+_LENGTH = re.compile("[0-9]{1,18}")
 _HEAD = re.compile(rb"(?:(?<=\r\n)|\A)" + VERSION.encode() + rb"\r\n((?:[!-9;-~]+:[^\r\n]*\r\n)+)\r\n")
 
 
@@ -49,12 +57,14 @@ def payloads(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write the records of ``pages`` as gzip WARC files in ``path``, any folder that Spark can write."""
-    found = payloads(pages)
+    found = stage(payloads(pages), "payloads")
+    largest = found.agg(F.max("size")).first()[0] or 0
+    records_per_file = max(1, min(records_per_file, FILE_BYTES // (largest + HEAD_BYTES)))
     known = found.where(F.col("page_id").isNotNull() & (F.col("size") >= min_revisit))
     owners = stage(known.groupBy("digest").agg(F.min("page_id").alias("owner"), F.count("*").alias("n")).where("n > 1").select("digest", "owner"), "owners")
     placed = found.join(owners, "digest", "left")
     revisit = F.col("page_id").isNotNull() & F.col("owner").isNotNull() & (F.col("size") >= min_revisit) & (F.col("page_id") != F.col("owner"))
-    uid = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
+    uid = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.concat(F.lit("="), F.url_encode(F.col(c).cast("string"))), F.lit("")), F.lit(">"))
     line = lambda k, v: F.concat(F.lit(f"{k}: "), v, F.lit("\r\n"))
     clean = F.regexp_replace("url", "[\\x00-\\x20\\x7F]", "%20")
     head = F.concat(
@@ -97,14 +107,13 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
                 for m in _HEAD.finditer(data):
                     fields = dict(x.split(": ", 1) for x in m[1].decode("utf-8", "replace").split("\r\n") if ": " in x)
                     size = fields.get("Content-Length", "")
-                    if not size.isdecimal():
+                    if not _LENGTH.fullmatch(size) or (end := m.end() + int(size)) + 4 > len(data):
                         continue
-                    end = m.end() + int(size)
                     fits = data[end : end + 4] == b"\r\n\r\n" and (end + 4 == len(data) or data.startswith(VERSION.encode() + b"\r\n", end + 4))
                     digest = base64.b32encode(hashlib.sha1(data[m.end() : end]).digest()).decode() if fits else None
                     said = fields.get("WARC-Payload-Length", "")
-                    uid = lambda k, f=fields: f.get(k, "")[10:-1] or None
-                    rows.append((file.as_py(), m.start(), end + 4, fields.get("WARC-Type"), uid("WARC-Record-ID"), uid("WARC-Refers-To"), fields.get("WARC-Payload-Digest", "")[5:], int(said) if said.isdecimal() else None, digest, int(size)))
+                    uid = lambda k, f=fields: f.get(k, "")[11:-1] if f.get(k, "").startswith("<urn:page:=") else None
+                    rows.append((file.as_py(), m.start(), end + 4, fields.get("WARC-Type"), uid("WARC-Record-ID"), uid("WARC-Refers-To"), fields.get("WARC-Payload-Digest", "")[5:], int(said) if _LENGTH.fullmatch(said) else None, digest, int(size)))
                 for at in range(0, len(rows), 5000):
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[at : at + 5000], strict=True), kinds, strict=True)], names=names)
 
@@ -141,4 +150,5 @@ def round_trip(pages: DataFrame) -> DataFrame:
     path = new_path(spark, "warc")
     write_archives(pages, path)
     found = read_archives(spark, path)
-    return found.select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers").cast(kind).alias("refers_to"))
+    ident = lambda c: F.url_decode(F.col(c)).cast(kind)
+    return found.select(ident("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", ident("refers").alias("refers_to"))
