@@ -1,8 +1,9 @@
 """Personal data by fixed patterns and bootstrapped contextual extraction.
 
-Base entities (email, ip, card, phone), each as a whole, and values behind cue words are the seeds. Every seed and every identifier-like string with the
-three lexical tokens before it (a word among them) is an edge of a pattern-instance graph, counted by task and summed by Spark. Rounds of
-scoring follow: a pattern's score is the mean score of its different instances, an instance's the best of its
+Base entities (email, ip, card, phone), each as a whole, and values behind cue words are the seeds. Every seed and every
+identifier-like string makes edges of a pattern-instance graph, counted by task and summed by Spark: one to each of its
+patterns, which are the three and the five lexical tokens before it and the two on either side of it (a word among
+them, digits as one sign). Rounds of scoring follow: a pattern's score is the mean score of its different instances, an instance's the best of its
 patterns, seeds stay at one. Patterns with a high score and enough different instances are accepted, however many and
 whatever their share of the table, and what stands behind them is found as kind ``id`` unless a base span covers some
 of it. Up to ``SHARED_PATTERNS`` of those that find something go to the executors; more are joined.
@@ -35,9 +36,9 @@ ROUNDS = 3
 MIN_IDENTIFIER = 8
 #: More patterns than these are not sent to every executor but joined with the places they could stand before.
 SHARED_PATTERNS = 100_000
-#: A pattern looks at so many characters before an identifier.
-REACH = 48
-_PLACES = StructType([StructField("places", ArrayType(StructType([StructField("s", LongType()), StructField("e", LongType()), StructField("p", StringType())])))])
+#: A pattern looks at so many characters before and behind an identifier.
+REACH = 64
+_PLACES = StructType([StructField("places", ArrayType(StructType([StructField("s", LongType()), StructField("e", LongType()), StructField("p", ArrayType(StringType()))])))])
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _WORDY = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -47,7 +48,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _LEX = re.compile(r"\w+|[^\w\s]")
-_CUE = re.compile(rf"(?:^|\s)(?:{'|'.join(CUES)}) [=:]")
+_CUE = re.compile(rf"(?:^|\s)(?:{'|'.join(CUES)}) [=:](?: [\"'])?$")
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 def _luhn(digits: str) -> bool:
@@ -74,7 +76,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         at = text.find("@", max(at + 1, done))
     if _DIGITS.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
                 out.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
@@ -103,9 +105,17 @@ def identifiers(text: str) -> Iterator[tuple[int, int]]:
             yield s, e
 
 
-def pattern(text: str, start: int) -> str:
-    """The three lexical tokens before a position, digits as 0."""
-    return " ".join(_DIGITS.sub("0", x) for x in _LEX.findall(text[max(0, start - REACH) : start].lower())[-3:])
+def patterns(text: str, start: int, end: int) -> list[str]:
+    """The contexts of a span, different ones: three and five lexical tokens before it, two on either side."""
+    before = [_DIGITS.sub("0", x) for x in _LEX.findall(text[max(0, start - REACH) : start].lower())[-5:]]
+    behind = [_DIGITS.sub("0", x) for x in _LEX.findall(text[end : end + REACH].lower())[:2]]
+    made = (" ".join(before[-3:]), " ".join(before), f"{' '.join(before[-2:])} _ {' '.join(behind)}")
+    return [x for x in dict.fromkeys(made) if _LETTER.search(x)]
+
+
+def cued(text: str, start: int) -> bool:
+    """Whether a cue word with = or : stands before a place."""
+    return bool(_CUE.search(" ".join(_LEX.findall(text[max(0, start - REACH) : start].lower())[-3:])))
 
 
 def _covered(base: list[tuple[int, int, int]], s: int, e: int) -> bool:
@@ -136,13 +146,13 @@ def edges(docs: DataFrame) -> DataFrame:
                 starts = {s for s, _ in whole}
                 # an identifier that begins a base span is that span's own occurrence
                 for s, e in [*whole, *(x for x in identifiers(text) if x[0] not in starts)]:
-                    p = pattern(text, s)
-                    key = (p, hashlib.blake2b(text[s:e].encode(), digest_size=12).hexdigest())
-                    seen[key] += 1
-                    if (s, e) in whole or _CUE.search(p) or any(a <= s and e <= z for a, _, z in base):
-                        seeds.add(key)
+                    instance = hashlib.blake2b(text[s:e].encode(), digest_size=12).hexdigest()
+                    keys = [(p, instance) for p in patterns(text, s, e)]
+                    seen.update(keys)
+                    if (s, e) in whole or cued(text, s) or any(a <= s and e <= z for a, _, z in base):
+                        seeds.update(keys)
                     if not _covered(base, s, e):
-                        free.add(key)
+                        free.update(keys)
             if len(seen) > 50_000:
                 yield made()
         if seen:
@@ -155,8 +165,7 @@ def edges(docs: DataFrame) -> DataFrame:
 def accepted_patterns(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, finds (whether something stands behind it that no base span covers) of every accepted pattern."""
     graph = stage(edges(docs), "graph")
-    lexical = graph.where(F.col("pattern").rlike("\\p{L}"))
-    wide = stage(lexical.groupBy("pattern").agg(F.count("*").alias("k"), F.max("free").alias("finds")).where(F.col("k") >= MIN_INSTANCES), "wide")
+    wide = stage(graph.groupBy("pattern").agg(F.count("*").alias("k"), F.max("free").alias("finds")).where(F.col("k") >= MIN_INSTANCES), "wide")
     fixed = graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("fixed"))
     linked = stage(graph.join(wide.select("pattern"), "pattern", "left_semi").select("pattern", "instance").join(fixed, "instance"), "linked")
     patterns = stage(linked.groupBy("pattern").agg(F.avg("fixed").alias("p")), "patterns0")
@@ -171,15 +180,15 @@ def learn_patterns(docs: DataFrame, rounds: int = ROUNDS) -> list[str]:
     return sorted(r["pattern"] for r in accepted_patterns(docs, rounds).select("pattern").collect())
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str]]:
-    """(start, end, pattern) of the identifiers that no base span covers."""
-    return [(s, e, pattern(text, s)) for s, e in identifiers(text) if not _covered(base, s, e)]
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, list[str]]]:
+    """(start, end, patterns) of the identifiers that no base span covers."""
+    return [(s, e, patterns(text, s, e)) for s, e in identifiers(text) if not _covered(base, s, e)]
 
 
 def all_spans(text: str, accepted: frozenset[str]) -> list[tuple[int, int, int]]:
     """Base and discovered spans (start, kind number, end), sorted."""
     base = base_spans(text)
-    return sorted(base + [(s, 4, e) for s, e, p in candidates(text, base) if p in accepted]) if accepted else base
+    return sorted(base + [(s, 4, e) for s, e, own in candidates(text, base) if not accepted.isdisjoint(own)]) if accepted else base
 
 
 def _told(spans: list[tuple[int, int, int]]) -> str:
@@ -214,7 +223,7 @@ def _joined(docs: DataFrame, patterns: DataFrame, made: Callable[[pa.RecordBatch
             yield made(b.take(pa.array(own, pa.int64())), [base[i] for i in own])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("p", pa.string())]))
+        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("p", pa.list_(pa.string()))]))
         for b in slices(batches):
             places = [candidates(x, base_spans(x)) for x in (x.as_py() or "" for x in b.column(1))]
             own = pa.array([i for i, x in enumerate(places) if x], pa.int64())
@@ -230,14 +239,14 @@ def _joined(docs: DataFrame, patterns: DataFrame, made: Callable[[pa.RecordBatch
     packed = keep_columns(docs)
     open_ = map_arrow(packed.select("row", F.col("row.text").alias("text")), placed, StructType([*packed.schema.fields, *_PLACES.fields]))
     open_ = stage(open_.withColumn("number", F.monotonically_increasing_id()), "places")
-    each = open_.select("number", F.explode("places").alias("x")).select("number", F.col("x.p").alias("pattern"), F.struct("x.s", "x.e").alias("span"))
-    found = each.join(patterns, "pattern").groupBy("number").agg(F.collect_list("span").alias("_id_spans"))
+    each = open_.select("number", F.explode("places").alias("x")).select("number", F.explode("x.p").alias("pattern"), F.struct("x.s", "x.e").alias("span"))
+    found = each.join(patterns, "pattern").groupBy("number").agg(F.collect_set("span").alias("_id_spans"))
     told = open_.join(found, "number", "left").select("row.*", "_id_spans")
     return map_arrow(docs, plain, schema).unionAll(map_arrow(told, merged, schema))
 
 
 def detect(docs: DataFrame, accepted: list[str] | None = None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id of every row."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id, n_spans (of all kinds) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def made(b: pa.RecordBatch, every: list) -> pa.RecordBatch:
@@ -245,11 +254,11 @@ def detect(docs: DataFrame, accepted: list[str] | None = None) -> DataFrame:
         for spans in every:
             n = Counter(k for _, k, _ in spans)
             base = _told([s for s in spans if s[1] < 4])
-            rows.append((n[0], n[1], n[2], n[3], hashlib.sha256(base.encode()).hexdigest(), _told(spans), n[4]))
-        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()])]
-        return pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_id"])
+            rows.append((n[0], n[1], n[2], n[3], hashlib.sha256(base.encode()).hexdigest(), _told(spans), n[4], len(spans)))
+        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()] * 2)]
+        return pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_id", "n_spans"])
 
-    return _with_spans(docs.select("doc_id", "text"), accepted, made, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long")
+    return _with_spans(docs.select("doc_id", "text"), accepted, made, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long, n_spans long")
 
 
 def _replaced(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
