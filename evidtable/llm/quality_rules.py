@@ -96,14 +96,18 @@ def apply_policy(found: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
 
 
 def ablation(found: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
-    """For each rule of a policy: how many documents fail it, and how many only it rejects (leaving it out keeps them)."""
-    reject = POLICIES[policy]
-    held = F.col("failed").bitwiseAND(F.lit(reject))
-    rules = [(name, bit) for name, bit in BIT.items() if reject & bit]
-    sums = [F.sum(F.when(held.bitwiseAND(F.lit(bit)) != 0, 1).otherwise(0)).cast("long").alias(f"f_{name}") for name, bit in rules]
-    sums += [F.sum(F.when(held == bit, 1).otherwise(0)).cast("long").alias(f"o_{name}") for name, bit in rules]
-    one = found.agg(F.bit_or(held).alias("seen"), *sums)
-    return one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.coalesce(F.col(f"f_{name}"), F.lit(0)).alias("n_failed"), F.coalesce(F.col(f"o_{name}"), F.lit(0)).alias("n_only")) for name, _ in rules])).alias("r")).select("r.*")
+    """rule, n_failed, n_only: for each rule of a policy how many documents fail it, and how many only it rejects (leaving it out keeps them).
+
+    Documents are counted by their mask, of which there are at most 2 ** rules; the rules are read from the masks' bits.
+    """
+    reject = POLICIES[policy] | BASE
+    masks = found.groupBy(F.col("failed").bitwiseAND(F.lit(reject)).alias("mask")).agg(F.count("*").alias("n"))
+    rules = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(bit).cast("long").alias("bit")) for name, bit in BIT.items() if reject & bit]))
+    # a mask of no documents, so that an empty table tells every rule
+    masks = masks.unionByName(masks.sparkSession.range(1).select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("n")))
+    each = masks.select("mask", "n", rules.alias("r")).select("mask", "n", "r.*")
+    among = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(F.lit(0))).cast("long")
+    return each.groupBy("rule").agg(among(F.col("mask").bitwiseAND(F.col("bit")) != 0).alias("n_failed"), among(F.col("mask") == F.col("bit")).alias("n_only"))
 
 
 def keep(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:

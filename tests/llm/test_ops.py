@@ -1,8 +1,10 @@
 """Operators against brute force: nulls, empty and repeated rows, ties, clashing columns, empty tables."""
 
+import base64
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 from functools import lru_cache
 
@@ -64,7 +66,11 @@ def test_quality_rules(docs):
         assert (r["n_words"], r["word_chars"], r["n_repeat_words"]) == (len(w), sum(map(len, w)), len(hit))
         assert r["base_failed"] == (len(w) < 10 or 100 * len(hit) > 20 * len(w))
         assert not (r["base_failed"] and r["kept"])
-    assert {r["rule"] for r in quality_rules.ablation(quality_rules.ledger(docs)).collect()} == set(quality_rules.BIT)
+    for policy, mask in quality_rules.POLICIES.items():
+        failed = [r["failed"] & mask for r in got.values()]
+        want = {(name, sum(bool(x & bit) for x in failed), sum(x == bit for x in failed)) for name, bit in quality_rules.BIT.items() if mask & bit}
+        assert len(got) == len(corpus()) and set(map(tuple, quality_rules.ablation(quality_rules.ledger(docs), policy).collect())) == want
+    assert sum(bool(r["failed"] & quality_rules.BASE) for r in got.values()) > 3
 
 
 def test_simhash(docs):
@@ -228,11 +234,6 @@ def test_pii(docs):
     r = next(r for r in pii.detect(docs, ['token = "']).collect() if r["n_email"])
     assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["n_id"]) == (1, 1, 1, 1, 1)
     assert "4111" not in pii.redacted("card 4111111111111111.", frozenset())
-    rng = random.Random(4)
-    mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-    for _ in range(3000):
-        t = "".join(rng.choice("a1.@+- 0(") for _ in range(40))
-        assert [(s, e) for s, k, e in pii.base_spans(t) if k == 0] == [m.span() for m in mail.finditer(t)]
     assert pii.redact(docs, []).columns == docs.columns
 
 
@@ -254,6 +255,46 @@ def test_warc_rejects_magic_in_payloads(spark):
     assert got == {1: (n, "response", None), 2: (0, "response", None), 3: (0, "revisit", 2), 4: (n, "revisit", 1), None: (1, "response", None)}
 
 
+def test_warc_survives_lengths_and_ids(spark):
+    far = "a\r\n\r\nWARC/1.1\r\nX: y\r\nContent-Length: {}\r\n\r\nb"
+    html = [far.format(n) for n in ("9" * 20, "9" * 18, "9" * 5000, "-1", "٣", "7")] + ["x", "x", "x", None, "é" * 5, ""]
+    ids = ["a\r\nb", "<c>", "d>", "%41", " +", "", "n", None, "n", "e", "f", "g"]
+    pages = spark.createDataFrame(list(zip(ids, [None] * 12, html, strict=True)), "page_id string, url string, html string")
+    want = Counter()
+    for i, h in zip(ids, html, strict=True):
+        owner = min(k for k, x in zip(ids, html, strict=True) if (x or "") == (h or "") and k is not None)
+        again = i is not None and i != owner
+        data = (h or "").encode()
+        want[i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if again else "response", owner if again else None] += 1
+    assert Counter(map(tuple, warc.round_trip(pages).collect())) == want
+
+
+def test_compression_quality_of_few_labels(spark):
+    rows = [(i, prose(60) if i % 2 else " | ".join(prose(50).upper().split()), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    for few in (2, 5, 12):
+        own = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+        own = [r for q in (0, 1) for r in [x for x in own if x[2] == q][:few]]
+        labels = spark.createDataFrame([(r[0], r[2], 0) for r in own], "doc_id long, quality int, toxic int")
+        out = {r["doc_id"]: r["score"] for r in compression_quality.score(docs, compression_quality.fit(docs, labels)).collect()}
+        above = sum(out[a[0]] > out[b[0]] for a in rows for b in rows if a[2] > b[2])
+        assert above / 900 > 0.9 and len(set(out.values())) > 30
+    one = spark.createDataFrame([(1, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in compression_quality.score(docs, compression_quality.fit(docs, one)).collect()} == {3 / 4}
+
+
+def test_scores_do_not_move_with_the_sample(spark):
+    rows = [(i, prose(60) if i % 4 else " | ".join(prose(50).split()), int(i % 4 > 0)) for i in range(1200)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(rows[0][0], "again")], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2], 0) for r in rows] * 2, "doc_id long, quality int, toxic int")
+    means = []
+    for most in (60, 2000):
+        out = compression_quality.score(docs, compression_quality.fit(docs, labels, most)).collect()
+        assert Counter(r["doc_id"] for r in out) == Counter([r[0] for r in rows] + [0])
+        means.append(sum(r["score"] for r in out) / len(out))
+    assert abs(means[0] - 0.75) < 0.05 and abs(means[1] - 0.75) < 0.05
+
+
 def test_compression_quality(spark):
     rows = [(i, prose(80) if i % 2 else " | ".join(prose(60).upper().split()), i % 2) for i in range(400)]
     docs = spark.createDataFrame([r[:2] for r in rows] + [(1000, None), (None, "x")], "doc_id long, text string")
