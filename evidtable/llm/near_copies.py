@@ -6,16 +6,20 @@ shared make candidate groups (each text is linked to the first of a key: as many
 a group every text is compared by its whole set with those that its cluster reached, over an inverted index of the
 texts still apart, so that only real links join and the group's clusters are the components of all pairs at or above
 the similarity.
+
+A group of more than ``BIG`` texts isn't held in one task. It is dealt into chunks; in each round ``PIVOTS`` of its texts go
+to all its chunks and are compared with every text there, until each text outside the group's largest cluster has been
+a pivot: then only pairs inside one cluster are left out.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, min_labels, slices, stage
@@ -30,6 +34,9 @@ _ODD |= np.uint64(1)
 _MIX |= np.uint64(1)
 #: A long text is sketched by so many shingles at once.
 STEP = 4096
+#: Texts of a group that one task compares; texts of a larger group that meet all others at once.
+BIG = 2000
+PIVOTS = 64
 
 
 def sketch(shingles: np.ndarray) -> list[int]:
@@ -86,15 +93,19 @@ def near_roots(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> np
         frontier += near.tolist()
 
 
-def links(texts: DataFrame, sketches: DataFrame, shingles_of, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """Spanning links (a, b) of near copies. ``texts``: id, text; ``sketches``: id, digest, bands; both without null ids."""
-    first = stage(sketches.groupBy("digest").agg(F.min("id").alias("first"), F.first("bands").alias("bands")), "sets")
-    same = sketches.select("id", "digest").join(first.select("digest", "first"), "digest").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    keys = stage(first.select(F.explode("bands").alias("key"), F.col("first").alias("id")), "keys")
+def links(texts: DataFrame, sketches: DataFrame, more: DataFrame, shingles_of: Callable[[str | None], np.ndarray], similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """Spanning links (a, b) of near copies. ``texts``: id, text; ``sketches``: id, bands, of different sets; ``more``: further candidates (a, b)."""
+    keys = stage(sketches.select(F.explode("bands").alias("key"), "id"), "keys")
     shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
-    groups = min_labels(keys.join(shared, "key").where("id <> a").select("a", F.col("id").alias("b")))
-    met = texts.join(groups.withColumnRenamed("node", "id"), "id").select("label", "id", "text")
-    met = met.repartition("label").sortWithinPartitions("label", "id")
+    groups = stage(min_labels(keys.join(shared, "key").where("id <> a").select("a", F.col("id").alias("b")).unionByName(more)).withColumnRenamed("node", "id"), "candidates")
+    sizes = groups.groupBy("label").agg(F.count("*").alias("n"))
+    big = stage(sizes.where(F.col("n") > BIG), "big")
+    out = stage(_within(texts.join(groups, "id").join(big, "label", "left_anti").select("label", "id", "text"), shingles_of, similar), "near")
+    return out if big.isEmpty() else out.unionByName(_by_pivots(texts.join(groups, "id").join(big, "label").select("label", "n", "id", "text"), shingles_of, similar))
+
+
+def _within(met: DataFrame, shingles_of: Callable[[str | None], np.ndarray], similar: tuple[int, int]) -> DataFrame:
+    """Links (a, b) of whole groups (label, id, text) of bounded size, each in one task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label, ids, sets = None, [], []
@@ -116,4 +127,71 @@ def links(texts: DataFrame, sketches: DataFrame, shingles_of, similar: tuple[int
         if ids:
             yield made()
 
-    return same.unionByName(stage(map_arrow(met, work, "a long, b long"), "near"))
+    return map_arrow(met.repartition("label").sortWithinPartitions("label", "id"), work, "a long, b long")
+
+
+def _against(met: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Links (a: pivot, b) from rows (label, chunk, member, id, shingles: bytes), a chunk's pivots before its members."""
+    a, b = similar
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, hashes, owner, size, fresh = None, [], [], [], [], False
+        for batch in slices(batches):
+            out_a, out_b = [], []
+            for label, chunk, member, i, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(raw, "<u8")
+                if (label, chunk) != now:
+                    now, ids, hashes, owner, fresh = (label, chunk), [], [], [], False
+                if not member:
+                    hashes.append(own)
+                    ids.append(i)
+                    continue
+                if not fresh:
+                    size = np.array([len(x) for x in hashes])
+                    owner = np.repeat(np.arange(len(ids)), size)
+                    every = np.concatenate(hashes)
+                    order = np.argsort(every, kind="stable")
+                    every, owner, fresh = every[order], owner[order], True
+                lo, hi = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")
+                n = hi - lo
+                at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else lo
+                both = np.bincount(owner[at], minlength=len(ids))
+                for k in np.flatnonzero((a + b) * both >= a * (size + len(own))):
+                    if ids[k] != i:
+                        out_a.append(ids[k])
+                        out_b.append(i)
+            if out_a:
+                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    return map_arrow(met.select("label", "chunk", "member", "id", "shingles"), work, "a long, b long")
+
+
+def _by_pivots(met: DataFrame, shingles_of: Callable[[str | None], np.ndarray], similar: tuple[int, int]) -> DataFrame:
+    """Links (a, b) of groups (label, n, id, text) of any size, with the same components as all pairs."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            raw = [shingles_of(x.as_py()).astype("<u8").tobytes() for x in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(raw, pa.binary())], names=["label", "n", "id", "shingles"])
+
+    every = stage(map_arrow(met, sets, "label long, n long, id long, shingles binary"), "members")
+    chunk = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.col("n") / BIG).cast("long"))
+    members = every.select("label", chunk.alias("chunk"), F.lit(True).alias("member"), "id", "shingles")
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(1), F.col("n") / BIG).cast("long") - 1))
+    found = done = None
+    left = every.select("label", "id")  # texts outside their group's largest cluster that haven't been a pivot
+    for n in range(1 << 20):
+        first = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
+        chosen = stage(left.withColumn("k", first).where(F.col("k") <= PIVOTS).select("label", "id"), f"pivots{n}")
+        if chosen.isEmpty():
+            return found
+        # only groups that still have pivots are read again
+        pivots = every.join(chosen, ["label", "id"]).select("label", chunks.alias("chunk"), F.lit(False).alias("member"), "id", "shingles")
+        against = pivots.unionByName(members.join(chosen.select("label").distinct(), "label")).repartition("label", "chunk").sortWithinPartitions("label", "chunk", "member", "id")
+        made = stage(_against(against, similar), f"found{n}")
+        found = made if found is None else found.unionByName(made)
+        clusters = every.select("label", "id").join(min_labels(found).select(F.col("node").alias("id"), F.col("label").alias("cluster")), "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
+        largest = clusters.groupBy("label", "cluster").agg(F.count("*").alias("k")).groupBy("label").agg(F.max_by("cluster", F.struct("k", "cluster")).alias("cluster"))
+        done = chosen if done is None else done.unionByName(chosen)
+        left = stage(clusters.join(largest, ["label", "cluster"], "left_anti").join(done, ["label", "id"], "left_anti").select("label", "id"), f"left{n}")
+    raise RuntimeError("groups did not settle")

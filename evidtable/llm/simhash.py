@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import near_copies
-from .common import map_arrow, min_labels, slices, stage
+from .common import keep_columns, map_arrow, min_labels, slices, stage
 
 SEED = 42
 SHINGLE = 4
+#: Words of a shingle where near copies are told by similarity.
+NEAR_SHINGLE = 5
 RADIUS = 4
 BLOCKS = 6
 EQUAL = BLOCKS - RADIUS
@@ -170,44 +172,52 @@ def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Rec
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id for every row of ``docs``."""
+    """doc_id, fp, component_id (the smallest doc_id reachable) for every row of ``docs``; doc_id of any type that sorts."""
     fps = stage(fingerprints(docs), "fingerprints")
-    distinct = stage(fps.groupBy("fp").agg(F.min("doc_id").cast("long").alias("id")), "distinct")
-    labels = min_labels(links(distinct.where("id is not null")))
-    of = stage(distinct.join(labels.withColumnRenamed("node", "id"), "id", "left").select("fp", F.coalesce("label", "id").alias("component_id")), "classes")
-    return fps.join(of, "fp").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    distinct = stage(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    labels = min_labels(links(distinct.select("fp", F.col("fp").alias("id"))))
+    placed = stage(distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label")), "placed")
+    least = placed.groupBy("label").agg(F.min("first").alias("component_id"))
+    of = stage(placed.join(least, "label").select("fp", "component_id"), "classes")
+    # a left join: a fingerprint that only rows without an id have is of no class
+    return fps.join(of, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """id, fp, digest and bands (of the set of shingles) of every row of ``docs`` with an id, by one hashing of its shingles."""
+def sketched(texts: DataFrame, shingle: int) -> DataFrame:
+    """id, fp, digest and bands (of the set of shingles) of every row of ``texts`` (id, text), by one hashing of its shingles."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp, digests, bands = [], [], []
             for x in b.column(1):
-                h = shingle_hashes(x.as_py())
+                h = shingle_hashes(x.as_py(), shingle)
                 own = np.unique(h)
                 fp.append(_signed(_majority(h)))
                 digests.append(near_copies.digest(own))
                 bands.append(near_copies.sketch(own))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "fp", "digest", "bands"])
 
-    return map_arrow(docs, work, "id long, fp long, digest binary, bands array<long>")
+    return map_arrow(texts, work, "id long, fp long, digest binary, bands array<long>")
 
 
-def keep_first(docs: DataFrame, similar: tuple[int, int] = near_copies.SIMILAR) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group, all others gone; rows with a null doc_id stay.
+def keep_first(docs: DataFrame, shingle: int = NEAR_SHINGLE, similar: tuple[int, int] = near_copies.SIMILAR) -> DataFrame:
+    """The row with the smallest doc_id (nulls last) of each group of near copies; rows are told apart by a number of their own, not by doc_id.
 
-    A group is linked by fingerprints within RADIUS bits and by a Jaccard similarity of shingles of ``similar`` at
-    least, whatever the distance of the fingerprints.
+    Groups are the components of all pairs whose sets of ``shingle``-word shingles have a Jaccard similarity of
+    ``similar`` at least. Fingerprints of these shingles within RADIUS bits and MinHash bands give the candidates, the
+    whole sets the verdict.
     """
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
-    rows = stage(sketched(texts), "sketches")
-    distinct = stage(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    same = rows.select("id", "fp").join(distinct, "fp").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    near = near_copies.links(texts, rows.select("id", "digest", "bands"), lambda x: np.unique(shingle_hashes(x)), similar)
-    labels = min_labels(links(distinct.withColumnRenamed("first", "id")).unionByName(same).unionByName(near))
-    gone = stage(labels.where("node <> label").select(F.col("node").alias("_id")), "gone")
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_id"))
+    rows = stage(keep_columns(docs).withColumn("id", F.monotonically_increasing_id()), "rows")
+    texts = rows.select("id", F.col("row.text").alias("text"))
+    sketches = stage(sketched(texts, shingle), "sketches")
+    sets = stage(sketches.groupBy("digest").agg(F.min("id").alias("id"), F.min_by("fp", "id").alias("fp"), F.min_by("bands", "id").alias("bands")), "sets")
+    same = sketches.select("digest", F.col("id").alias("b")).join(sets.select("digest", F.col("id").alias("a")), "digest").where("a <> b").select("a", "b")
+    marked = stage(sets.groupBy("fp").agg(F.min("id").alias("first")), "marked")
+    alike = sets.select("id", "fp").join(marked, "fp").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    marks = links(marked.select("fp", F.col("first").alias("id"))).unionByName(alike)
+    near = near_copies.links(texts, sets.select("id", "bands"), marks, lambda x: np.unique(shingle_hashes(x, shingle)), similar)
+    labels = stage(min_labels(same.unionByName(near)).join(rows.select(F.col("id").alias("node"), F.col("row.doc_id").alias("doc_id")), "node"), "groups")
+    kept = labels.groupBy("label").agg(F.min_by("node", F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("node"))
+    gone = stage(labels.join(kept, ["label", "node"], "left_anti").select(F.col("node").alias("id")), "gone")
     # the ids that go grow with the input: merged, never broadcast
-    return packed.join(gone.hint("merge"), "_id", "left_anti").select("row.*")
+    return rows.join(gone.hint("merge"), "id", "left_anti").select("row.*")

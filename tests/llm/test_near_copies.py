@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from evidtable.llm import near_copies, simhash
 
@@ -34,14 +35,51 @@ def test_near_copies_beyond_the_radius_go(spark):
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
     texts = []
     for _ in range(60):
-        w = [word() for _ in range(90)]
+        w = [word() for _ in range(110)]
         other = list(w)
         other[30], other[60] = word(), word()
         texts += [" ".join(w), " ".join(other)]
     far = [i for i in range(0, 120, 2) if (simhash.fingerprint(texts[i]) ^ simhash.fingerprint(texts[i + 1])).bit_count() > simhash.RADIUS]
-    near = [jaccard(*(set(simhash.shingle_hashes(texts[k]).tolist()) for k in (i, i + 1))) for i in far]
+    near = [jaccard(*(set(simhash.shingle_hashes(texts[k], 5).tolist()) for k in (i, i + 1))) for i in range(0, 120, 2)]
     assert len(far) > 20 and min(near) >= 0.8
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r["doc_id"] for r in simhash.keep_first(docs).collect()} == set(range(0, 120, 2))
     apart = {r["doc_id"]: r["component_id"] for r in simhash.components(docs).collect()}
     assert all(apart[i + 1] == i + 1 for i in far)  # op8 keeps its radius
+
+
+def groups_by_brute_force(texts):
+    sets = [set(simhash.shingle_hashes(t, simhash.NEAR_SHINGLE).tolist()) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and (not sets[i] | sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])):
+                a, b = sorted((group[i], group[j]))
+                group = [a if g == b else g for g in group]
+    return group
+
+
+@pytest.mark.parametrize(("big", "pivots"), [(2000, 64), (10, 4)])
+def test_first_of_each_group_stays(spark, monkeypatch, big, pivots):
+    """Chains, clusters that meet, repeated and null ids, clashing columns: one row of each group, in one task or by pivots."""
+    monkeypatch.setattr(near_copies, "BIG", big)
+    monkeypatch.setattr(near_copies, "PIVOTS", pivots)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    texts = []
+    for _ in range(4):
+        w = [word() for _ in range(120)]
+        for _ in range(30):  # each is near the one before, ends are far apart
+            texts.append(" ".join(w))
+            w = list(w)
+            w[rng.randrange(len(w))] = word()
+    texts += [texts[0], texts[5].upper(), "", "", None, "one two", "one  two", "a b c d e f", "a b c d e g"]
+    ids = [rng.choice([None, 7, i, 1000 - i]) for i in range(len(texts))]
+    docs = spark.createDataFrame([(d, t, i, "r") for i, (d, t) in enumerate(zip(ids, texts, strict=True))], "doc_id long, text string, id int, row string")
+    out = simhash.keep_first(docs)
+    assert out.columns == docs.columns
+    group, best = groups_by_brute_force(texts), {}
+    for i, g in enumerate(group):
+        best.setdefault(g, []).append((ids[i] is None, ids[i] or 0))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out.collect()) == sorted(min(x) for x in best.values())
+    assert {group[r["id"]] for r in out.collect()} == set(group)
