@@ -1,13 +1,14 @@
 """The corpus pipeline: quality rules, near duplicates, benchmark contamination, personal data, packing.
 
 Every stage works on all that the one before it kept and is written as Parquet in the shared folder and read again.
-All stages but the last return the columns of documents. A row with a null doc_id is judged by its text; where rows
-are told apart by id alone (near duplicates, contamination) it stays.
+All stages but the last return the columns of documents. Rows are judged by their text, whatever their doc_id: of rows
+that repeat one, or have none, each gets its own verdict, and of near copies the one with the smallest doc_id stays.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from evidtable.llm import decontaminate, packing, pii, quality_rules, simhash
 from evidtable.llm.common import stage, table
@@ -19,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group."""
+    """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8)."""
     return simhash.keep_first(docs)
 
 
@@ -30,8 +31,6 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars follows the new text."""
-    from pyspark.sql import functions as F
-
     out = pii.redact(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
