@@ -1,6 +1,5 @@
 """Legends, headers, prose, repairs and pages on small cases."""
 
-import itertools
 import random
 
 from pyspark.sql import functions as F
@@ -49,8 +48,11 @@ def test_repair(spark):
     assert [out[i]["repaired"] for i in range(len(asked))] == list(asked.values())
     assert [out[i]["depth"] for i in range(len(asked))] == [1, 1, 1, None, 1, 2, 0, None, None, None]
     assert out[6]["note"] == "first of 2"
-    texts = [c for _, c, _ in itertools.islice(repair.candidates("ll1l-Ol"), 500)]
-    assert len(texts) == len(set(texts)) and "ll1l-Ol" not in texts
+    rows = repair.candidates(spark.createDataFrame([("ll1l-Ol",), ("",), ("rnx",)], "seed string")).collect()
+    texts = [r["text"] for r in rows if r["seed"] == "ll1l-Ol"]
+    assert len(texts) == len(set(texts)) and "ll1l-Ol" not in texts and not any(r["seed"] == "" for r in rows)
+    few = sorted((r["n"], r["text"], r["depth"], r["edits"]) for r in rows if r["seed"] == "rnx")
+    assert few == [(1, "mx", 1, ["rn → m everywhere"])]
 
 
 def test_prose(spark):
