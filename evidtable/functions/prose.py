@@ -59,7 +59,7 @@ def publication_number_in(text: pd.Series) -> pd.Series:
         for m in number.finditer(x):
             kind = m["kind"] + (DIGITS.get(x[m.end() : m.end() + 1], "") if len(m["kind"]) == 1 else "")
             plain = re.sub(r"[\s/]", "", m["cc"] + m["num"] + kind).upper()
-            if not x[: m.start()].endswith("/") and shape.fullmatch(plain):
+            if x[m.start() - 1 : m.start()] != "/" and shape.fullmatch(plain):
                 points = 2 * bool(label.search(x, max(0, m.start() - LABEL_REACH), m.start())) + (m["cc"] in OFFICES)
                 out.append((-points, m.start(), plain))
         return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -36,12 +37,19 @@ def normalized_name(c: Column) -> Column:
 
 
 def publication_number(c: Column) -> Column:
-    return F.upper(F.regexp_replace(c, r"[\s/,.\-]", ""))
+    """Without white space, slashes, commas, dots and dashes of any kind, in capitals."""
+    return F.upper(F.regexp_replace(c, r"(?U)[\s/,.\-\u2010-\u2015]", ""))
+
+
+#: Fixed pattern: the file name of a page image.
+IMAGE_NAME = r"(?i)^imgf([0-9]{6})_([0-9]{4})\.(?:png|jpe?g|tiff?|gif)$"
 
 
 def image_page_index(url: Column) -> Column:
-    """Page number of an image file name imgfNNNNNN_MMMM; null for other names."""
-    return F.regexp_extract(F.regexp_replace(url, "[?#].*$", ""), r"imgf([0-9]{6})_[0-9]{4}\.(?:png|jpg|tiff|gif)$", 1).try_cast("int")
+    """struct(page, index) of a URL whose file is named imgfNNNNNN_MMMM, whatever its query or fragment; null for other names."""
+    name = F.element_at(F.split(F.regexp_replace(url, r"(?s)[?#].*$", ""), "/"), -1)
+    part = lambda i: F.regexp_extract(name, IMAGE_NAME, i).cast("int")
+    return F.when(name.rlike(IMAGE_NAME), F.struct(part(1).alias("page"), part(2).alias("index")))
 
 
 def absolute_url(url: Column, base: str) -> Column:
@@ -55,7 +63,13 @@ def page_ranges(c: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(bounds, lambda b: b["a"] <= b["z"]), lambda b: F.sequence(b["a"], b["z"])))))
 
 
+def plain_integer(c: Column) -> Column:
+    """The first run of digits as a number."""
+    return F.regexp_extract(c, "([0-9]+)", 1).try_cast("int")
+
+
 def first_integer(c: Column) -> Column:
+    """The first run of digits or of letters read for digits."""
     return F.regexp_extract(F.translate(c, "lI|Oo", "11100"), "([0-9]+)", 1).try_cast("int")
 
 
@@ -93,13 +107,49 @@ def cross_references(c: Column) -> Column:
     return F.filter(told, lambda p: F.size(p["tables"]) >= 2)
 
 
+#: Fragments by which a word is a chemical name's; a locant before a bracket is one too.
+FRAGMENTS = (
+    "acetamid", "amino", "azetidin", "benzo", "carbox", "chloro", "dione", "dioxo", "ethyl", "fluoro", "hydroxy", "imidazol", "indazol", "indol", "isoindolin", "methoxy", "methyl", "morpholin", "nitril",
+    "oxopiperidin", "phenoxy", "phenyl", "piperidin", "pyrazol", "pyridin", "pyrimidin", "pyrrolidin", "quinolin", "sulfon", "triazol", "yl)",
+)
+TOKEN = r"[A-Za-z0-9][A-Za-z0-9()\[\]'’,.\-]*"
+SUBSTITUENT = r"[0-9]+-\("
+
+
 def ocr_quality(c: Column, vocabulary: list[str]) -> Column:
-    """Share of the words of three letters or more that are known; 0 without any."""
-    words = F.regexp_extract_all(F.lower(c), F.lit("([a-z]{3,})"), 1)
-    known = F.filter(words, lambda w: w.isin(*vocabulary))
+    """Share of the tokens with three letters or more whose letters are a known word, or that read chemical; 0 without any."""
+    chemical = "|".join([*map(re.escape, FRAGMENTS), SUBSTITUENT])
+    tokens = F.transform(F.regexp_extract_all(c, F.lit(TOKEN), 0), lambda t: F.struct(F.lower(t).alias("t"), F.regexp_replace(F.lower(t), "[^a-z]", "").alias("w")))
+    words = F.filter(tokens, lambda t: F.length(t["w"]) >= 3)
+    known = F.filter(words, lambda t: t["w"].isin(*vocabulary) | t["t"].rlike(chemical))
     return F.when(F.size(words) > 0, F.size(known) / F.size(words)).otherwise(F.lit(0.0))
 
 
+def rotation(osd: Column) -> Column:
+    """struct(degrees, confidence) that an orientation report claims; (0, 0.0) where it claims nothing."""
+    turn = F.regexp_extract(osd, r"(?m)^Rotate:\s*([0-9]+)", 1).try_cast("int")
+    sure = F.regexp_extract(osd, r"(?m)^Orientation confidence:\s*([0-9.]+)", 1).try_cast("double")
+    return F.struct(F.coalesce(turn % 360, F.lit(0)).alias("degrees"), F.when(turn.isNotNull(), F.coalesce(sure, F.lit(0.0))).otherwise(F.lit(0.0)).alias("confidence"))
+
+
+def resolved_rotation(detected: Column, score: Column, opposite: Column, threshold: float = 0.30) -> Column:
+    """struct(applied, score, alt_score, uncertain): the detected turn, or its opposite where the first reads badly and the other strictly better.
+
+    ``opposite`` is the score after 180 degrees more, looked at only where ``score`` is under the threshold. How sure the
+    detector was plays no part.
+    """
+    tried, back = score < threshold, (detected + 180) % 360
+    turned = tried & (opposite > score)
+    alt = F.when(turned, score).when(tried, opposite).otherwise(F.lit(0.0))
+    best = F.when(turned, opposite).otherwise(score)
+    return F.struct(F.when(turned, back).otherwise(detected % 360).alias("applied"), best.alias("score"), alt.alias("alt_score"), (F.greatest(best, alt) < threshold).alias("uncertain"))
+
+
+def looks_numeric(c: Column) -> Column:
+    """Whether a text begins, commas apart, with a number, a relation before it or not."""
+    return F.coalesce(F.replace(c, F.lit(","), F.lit("")).rlike(r"^\s*[<>=~≤≥]*\s*[+-]?[0-9]+(\.[0-9]+)?"), F.lit(False))
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """difflib's ratio, in this order; 0 where either is empty."""
@@ -107,9 +157,24 @@ def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.StringType())
-def interval_text(lower: pd.Series, upper: pd.Series) -> pd.Series:
-    def one(lo: float, hi: float) -> str | None:
-        has = (not pd.isna(lo), not pd.isna(hi))
-        return {(True, True): f"{lo:g}-{hi:g}", (False, True): f"< {hi:g}", (True, False): f"> {lo:g}"}.get(has)
-
-    return pd.Series([one(a, b) for a, b in zip(lower, upper, strict=True)])
+def short_number(value: pd.Series) -> pd.Series:
+    """Six significant digits, exponents for the far ends, no trailing zeros: Spark has no such format."""
+    return value.map(lambda x: f"{x:g}", na_action="ignore")
+
+
+def interval_text(lower: Column, upper: Column, relation: Column | None = None, value: Column | None = None, units: Column | None = None) -> Column:
+    """A decoded interval; without one the standardized value with its relation (unless =) and units; empty without either."""
+    low, high = short_number(lower), short_number(upper)
+    told = F.when(lower.isNotNull() & upper.isNotNull(), F.concat(low, F.lit("-"), high)).when(upper.isNotNull(), F.concat(F.lit("< "), high)).when(lower.isNotNull(), F.concat(F.lit("> "), low))
+    if value is None:
+        return F.coalesce(told, F.lit(""))
+    sign = F.when(relation == "=", F.lit("")).otherwise(F.coalesce(relation, F.lit("")))
+    single = F.trim(F.concat(sign, short_number(value), F.lit(" "), F.coalesce(units, F.lit(""))))
+    return F.coalesce(told, single, F.lit(""))
+
+
+def rounded_interval(lower: Column, upper: Column, units: Column) -> Column:
+    """The interval for the eye: two decimals and units; null without bounds."""
+    two = lambda c: F.format_number(c, "0.0#")
+    span = F.when(lower.isNotNull() & upper.isNotNull(), F.concat(two(lower), F.lit("–"), two(upper))).when(upper.isNotNull(), F.concat(F.lit("< "), two(upper))).when(lower.isNotNull(), F.concat(F.lit("> "), two(lower)))
+    return F.trim(F.concat(span, F.lit(" "), F.coalesce(units, F.lit(""))))

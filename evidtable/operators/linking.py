@@ -22,7 +22,7 @@ def precedence_candidates(examples: DataFrame, entities: DataFrame, threshold: f
     """(example_seq, entity_seq, method, score): full key, name similarity, skeleton.
 
     Examples: doc, example_seq, full_key, skeleton, name; entities the same with entity_seq. Names meet only within
-    the bounds that a ratio of ``threshold`` implies for lengths, in blocks of length, never all with all.
+    a document and the bounds that a ratio of ``threshold`` implies for lengths, in blocks of length.
     """
     e, n = examples.alias("e"), entities.alias("n")
     pick = lambda method, score, df: df.select("doc", "example_seq", "entity_seq", F.lit(method).alias("method"), score.cast("double").alias("score"))
@@ -40,7 +40,10 @@ def precedence_candidates(examples: DataFrame, entities: DataFrame, threshold: f
 
 
 def claim(candidates: DataFrame) -> DataFrame:
-    """Greedy one-to-one links within a document, in the order of the examples: full key before name before skeleton."""
+    """Greedy one-to-one links within a document, in the order of the examples: full key before name before skeleton.
+
+    ``agreed``: the methods whose own best pick among the entities still free is the one taken.
+    """
     rank = {"full": 0, "name": 1, "skeleton": 2}
 
     def greedy(pdf):  # noqa: ANN001, ANN202
@@ -48,9 +51,10 @@ def claim(candidates: DataFrame) -> DataFrame:
         for seq, own in pdf.sort_values("example_seq").groupby("example_seq", sort=True):
             free = own[~own.entity_seq.isin(taken)]
             if len(free):
-                best = min(free.itertuples(), key=lambda r: (rank[r.method], -r.score, r.entity_seq))
+                picks = {m: min(g.itertuples(), key=lambda r: (-r.score, r.entity_seq)) for m, g in free.groupby("method")}
+                best = picks[min(picks, key=rank.get)]
                 taken.add(best.entity_seq)
-                agreed = sorted(set(free[free.entity_seq == best.entity_seq].method), key=rank.get)
+                agreed = sorted((m for m, p in picks.items() if p.entity_seq == best.entity_seq), key=rank.get)
                 rows.append((best.doc, seq, best.entity_seq, best.method, agreed))
         import pandas as pd
 
@@ -59,6 +63,54 @@ def claim(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("doc").applyInPandas(greedy, "doc string, example_seq long, entity_seq long, method string, agreed array<string>")
 
 
+def channels(rows: DataFrame, from_name: str, from_image: str) -> Column:
+    """Which channels tell of an entity with an activity row, and whether their keys agree: an array in fixed order."""
+    a, b = (F.nullif(F.trim(F.col(c)), F.lit("")) for c in (from_name, from_image))
+    both = a.isNotNull() & b.isNotNull()
+    how = F.when(both & (a == b), "channels_agree").when(both & (skeleton(a) == skeleton(b)), "channels_agree_skeleton").when(both, "channels_conflict")
+    return F.array_compact(F.array(F.lit("compound_number"), F.lit("activity_number"), F.when(a.isNotNull(), "name"), F.when(b.isNotNull(), "image"), how))
+
+
+def skeleton(key: Column) -> Column:
+    """The first fourteen characters of a key; null for a blank one."""
+    return F.substring(F.nullif(F.trim(key), F.lit("")), 1, 14)
+
+
+def full_join(entities: DataFrame, activity: DataFrame, examples: DataFrame, links: DataFrame) -> DataFrame:
+    """Every entity with how it was joined, then a row for every example that joined to none.
+
+    Entities: doc, entity_seq, local_id, number, key_from_name, key_from_image; activity: doc, number, seq (the last row of
+    a number counts); examples: doc, example_seq, local_id, full_key; links: those of ``claim``. Gives doc, entity_seq,
+    local_id, number, full_key, example_id, in_examples, join_method, join_channels; a null number joins nothing.
+    """
+    active = activity.where("number IS NOT NULL").select("doc", "number").distinct().withColumn("_active", F.lit(True))
+    told = examples.select("doc", "example_seq", F.col("local_id").alias("example_id"), F.col("full_key").alias("_example_key"))
+    linked = links.join(told, ["doc", "example_seq"]).select("doc", "entity_seq", "example_id", "method", "agreed")
+    rows = entities.join(active, ["doc", "number"], "left").join(linked, ["doc", "entity_seq"], "left")
+    base = F.when(F.col("_active"), channels(rows, "key_from_name", "key_from_image")).otherwise(F.array().cast("array<string>"))
+    more = F.when(F.col("method").isNotNull(), F.concat(F.array(F.lit("example_name")), "agreed", F.when(F.size("agreed") > 1, F.array(F.lit("methods_agree"))).otherwise(F.array().cast("array<string>"))))
+    method = F.nullif(F.concat_ws("+", F.when(F.col("_active"), "compound_number"), "method"), F.lit(""))
+    joined = rows.select(
+        "doc", "entity_seq", "local_id", "number", F.col("key_from_name").alias("full_key"), "example_id", F.col("method").isNotNull().alias("in_examples"), method.alias("join_method"),
+        F.concat(base, F.coalesce(more, F.array().cast("array<string>"))).alias("join_channels"),
+    )
+    rest = examples.join(links.select("doc", "example_seq"), ["doc", "example_seq"], "left_anti")
+    null = lambda t: F.lit(None).cast(t)
+    tail = rest.select(
+        "doc", null("long").alias("entity_seq"), "local_id", null(entities.schema["number"].dataType).alias("number"), "full_key", F.col("local_id").alias("example_id"), F.lit(True).alias("in_examples"),
+        F.lit("unjoined_example").alias("join_method"), F.array(F.lit("example_name")).alias("join_channels"),
+    )
+    return joined.unionByName(tail)
+
+
+def cross_check(name_key: Column, image_key: Column) -> Column:
+    """struct(tier, key, skeleton, source): agreement of two channels and what stands. The name's key stands wherever there is one; in a conflict it is the only source."""
+    a, b = (F.nullif(F.trim(c), F.lit("")) for c in (name_key, image_key))
+    label = tier(name_key, image_key)
+    source = F.when(label.isin("AGREE_FULL", "AGREE_SKELETON"), "name+image").when(a.isNotNull(), "name").when(b.isNotNull(), "image").otherwise("none")
+    return F.struct(label.alias("tier"), F.coalesce(a, b).alias("key"), skeleton(F.coalesce(a, b)).alias("skeleton"), source.alias("source"))
+
+
 def tier(name_key: Column, image_key: Column) -> Column:
     """Agreement of two channels' keys; blanks count as absent."""
     a, b = (F.when(F.trim(c) == "", F.lit(None)).otherwise(F.trim(c)) for c in (name_key, image_key))

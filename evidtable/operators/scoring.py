@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,31 +16,123 @@ def potency(scores: DataFrame, entity: str) -> DataFrame:
     return scores.groupBy(entity).agg(F.sum("bin_score").cast("long").alias("potency"), F.count_if(F.coalesce(F.col("bin_score") == TOP_SCORE, F.lit(False))).alias("top_bins"))
 
 
-def rank(entities: DataFrame, seq: str, doc: list[str] | None = None) -> DataFrame:
-    """rank, tie_group, tie_size, signal: by potency, top bins, qed (nulls last), mw (nulls last), then ``seq``; null potency is unranked."""
-    part = doc or []
-    order = [F.desc("potency"), F.desc("top_bins"), F.desc_nulls_last("qed"), F.asc_nulls_last("mw"), F.asc(seq)]
-    w = Window.partitionBy(*part).orderBy(*order)
-    ranked = entities.where("potency is not null").withColumns({"rank": F.row_number().over(w), "tie_group": F.dense_rank().over(Window.partitionBy(*part).orderBy(F.desc("potency"), F.desc("top_bins")))})
-    signal = F.when(F.lag("potency").over(w).isNull(), "top")
+def _order(seq: str) -> list[Column]:
+    return [F.desc("potency"), F.desc("top_bins"), F.desc_nulls_last("qed"), F.asc_nulls_last("mw"), F.asc(seq)]
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with their place (from 1) in a total order, and ``_part``, the range they were sorted in.
+
+    Rows are dealt by ranges of the order and numbered where they lie; a range begins after the rows of the ranges before
+    it, whose counts are one row each. The dealt rows are kept on disk, so that counts and rows come from one dealing.
+    """
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    part = F.shiftright("_at", 33)
+    sizes = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.select(F.col("_part").alias("_other"), F.col("_n").alias("_m"))
+    starts = sizes.join(F.broadcast(before), F.col("_other") < F.col("_part"), "left").groupBy("_part").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_start"))
+    placed = dealt.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return placed.withColumn(name, F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at", "_start")
+
+
+def _signal(previous: Column) -> Column:
+    """What sets a row apart from the one before it, a struct that is null for the first."""
+    said = F.when(previous.isNull(), "top")
     for c, name in (("potency", "potency"), ("top_bins", "top-bin count"), ("qed", "QED"), ("mw", "MW")):
-        signal = signal.when(~F.col(c).eqNullSafe(F.lag(c).over(w)), name)
-    ranked = ranked.withColumns({"signal": signal.otherwise("tied"), "tie_size": F.count("*").over(Window.partitionBy(*part, "tie_group"))})
+        said = said.when(~F.col(c).eqNullSafe(previous[c]), name)
+    return said.otherwise("tied")
+
+
+def rank(entities: DataFrame, seq: str, doc: list[str] | None = None) -> DataFrame:
+    """rank, tie_group, tie_size, signal: by potency, top bins, qed (nulls last), mw (nulls last), then ``seq``; null potency is unranked.
+
+    Within ``doc`` by windows; over the whole table by ranges of the order, so that no task sorts it alone.
+    """
+    known, own = entities.where("potency is not null"), F.struct("potency", "top_bins", "qed", "mw")
+    if doc:
+        w = Window.partitionBy(*doc).orderBy(*_order(seq))
+        ranked = known.withColumns({"rank": F.row_number().over(w).cast("long"), "tie_group": F.dense_rank().over(Window.partitionBy(*doc).orderBy(F.desc("potency"), F.desc("top_bins"))).cast("long")})
+        ranked = ranked.withColumns({"signal": _signal(F.lag(own).over(w)), "tie_size": F.count("*").over(Window.partitionBy(*doc, "tie_group"))})
+    else:
+        placed = numbered(known, _order(seq), "rank")
+        # the last row of a range stands before the first of the next: one row for each range
+        ends = placed.groupBy("_part").agg(F.max("rank").alias("rank"), F.max_by(own, "rank").alias("_end")).select((F.col("rank") + 1).alias("rank"), "_end")
+        inside = F.lag(own).over(Window.partitionBy("_part").orderBy("rank"))
+        placed = placed.withColumn("_previous", inside).join(F.broadcast(ends), "rank", "left").withColumn("signal", _signal(F.coalesce("_previous", "_end")))
+        ties = numbered(known.groupBy("potency", "top_bins").agg(F.count("*").alias("tie_size")), [F.desc("potency"), F.desc("top_bins")], "tie_group").drop("_part")
+        ranked = placed.drop("_part", "_previous", "_end").join(ties, ["potency", "top_bins"]).select(*entities.columns, "rank", "tie_group", "signal", "tie_size")
     null = lambda t: F.lit(None).cast(t)
-    rest = entities.where("potency is null").withColumns({"rank": null("int"), "tie_group": null("int"), "signal": null("string"), "tie_size": null("long")})
+    rest = entities.where("potency is null").withColumns({"rank": null("long"), "tie_group": null("long"), "signal": null("string"), "tie_size": null("long")})
     return ranked.unionByName(rest)
 
 
-def shortlist(ranked: DataFrame, n: int) -> DataFrame:
-    return ranked.where("rank is not null").orderBy("rank").limit(n)
+def shortlist(entities: DataFrame, seq: str, n: int) -> DataFrame:
+    """The ``n`` first of ``rank`` with rank and tie_group, without ranking the others: taken in order, then numbered."""
+    top = entities.where("potency is not null").orderBy(*_order(seq)).limit(n)
+    w = Window.orderBy(*_order(seq))  # n rows
+    return top.withColumns({"rank": F.row_number().over(w).cast("long"), "tie_group": F.dense_rank().over(Window.orderBy(F.desc("potency"), F.desc("top_bins"))).cast("long")})
+
+
+def distinct_assays(scores: DataFrame, assay: str) -> DataFrame:
+    """One row: n_assays, at least 1."""
+    return scores.agg(F.greatest(F.count_distinct(assay), F.lit(1)).cast("long").alias("n_assays"))
+
 
+def counts_by(rows: DataFrame, kind: str, levels: list[str] | None = None) -> DataFrame:
+    """(kind, n): anomalies by their kind, findings by their priority; listed levels without a row count 0."""
+    found = rows.groupBy(F.col(kind).alias("kind")).agg(F.count("*").alias("n"))
+    if levels is None:
+        return found
+    listed = rows.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, levels))).alias("kind"))
+    return listed.join(found, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def selectivity(scores: DataFrame, entity: str, assay: str, target: str, off_target: str | None, seq: str) -> DataFrame:
+    """(entity, selectivity): the score on the target less that on the off-target; null if either is missing, or no off-target is named.
+
+    Of an entity's scored rows the first whose assay is the name itself counts, else the first whose assay holds it.
+    """
+
+    def pick(name: str | None) -> Column:
+        own = F.when(F.lower(assay) == (name or "").lower(), 0).when(F.contains(F.lower(assay), F.lit((name or "").lower())), 1)
+        met = own.isNotNull() & F.col("bin_score").isNotNull() & F.lit(bool(name))
+        return F.min_by(F.when(met, F.col("bin_score")), F.when(met, F.struct(own.alias("k"), F.col(seq).alias("s"))))
 
-def selectivity(scores: DataFrame, entity: str, assay: str, target: str, off_target: str, seq: str) -> DataFrame:
-    """(entity, selectivity): first score on the target less the first on the off-target; null if either is missing."""
-    pick = lambda a: F.min_by(F.when(F.lower(assay) == a.lower(), F.col("bin_score")), F.when((F.lower(assay) == a.lower()) & F.col("bin_score").isNotNull(), F.col(seq)))
     return scores.groupBy(entity).agg((pick(target) - pick(off_target)).alias("selectivity"))
 
 
+#: Tokens by which an assay without a target is known.
+ASSAY_TOKENS = ("ZBTB7A", "WIZ", "HBF", "ARNT")
+
+
+def assay_identity(target: Column, name: Column) -> Column:
+    """The target in capitals if there is one, else the first known token in the name, else the name's letters and digits in capitals."""
+    upper = F.upper(F.coalesce(name, F.lit("")))
+    close = F.replace(upper, F.lit(" "), F.lit(""))
+    token = F.coalesce(*[F.when(F.contains(close, F.lit(t)), F.lit(t)) for t in ASSAY_TOKENS])
+    return F.when(F.coalesce(target, F.lit("")) != "", F.upper(F.trim(target))).otherwise(F.coalesce(token, F.regexp_replace(upper, r"[^\p{L}\p{N}]", "")))
+
+
+def predicted_values(measurements: DataFrame, entities: DataFrame) -> DataFrame:
+    """(id, assay, value): the last value that isn't empty of each entity and assay; a bin's label before the published text.
+
+    Measurements: entity, seq, target, name, bin_label, published_value; entities: entity, local_id.
+    """
+    said = F.coalesce(F.nullif("bin_label", F.lit("")), F.nullif("published_value", F.lit("")))
+    rows = measurements.select("entity", "seq", assay_identity(F.col("target"), F.col("name")).alias("assay"), said.alias("value")).where("value IS NOT NULL")
+    return rows.join(entities.select("entity", F.col("local_id").alias("id")), "entity").groupBy("id", "assay").agg(F.max_by("value", "seq").alias("value"))
+
+
+def report_lines(scores: dict[str, DataFrame]) -> DataFrame:
+    """(section, line) of one-row score tables: every figure as name: value, ratios with three places, ordered by section and column."""
+    parts = None
+    for at, (section, one) in enumerate(scores.items()):
+        told = [F.concat(F.lit(f"{c}: "), F.format_string("%.3f", F.col(c)) if t == "double" else F.col(c).cast("string")) for c, t in one.dtypes]
+        lines = one.select(F.lit(at).alias("at"), F.lit(section).alias("section"), F.posexplode(F.array(*told)).alias("no", "line"))
+        parts = lines if parts is None else parts.unionByName(lines)
+    return parts.orderBy("at", "no").select("section", "line")
+
+
 def cell_status(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     """(id, assay, expected, got, status) over both; predictions for keys that gold doesn't have are ``unlisted``."""
     g = gold.select("id", "assay", F.col("value").alias("expected"), F.lit(True).alias("_g"))

@@ -40,10 +40,10 @@ def dup_keys(spark: SparkSession, sf: str) -> DataFrame:
     return tables.duplicate_groups(k, "skeleton", "doc_id")
 
 
-@query("""SELECT page_id, TRY_CAST(nullif(regexp_extract(u, 'imgf([0-9]{6})_[0-9]{4}\\.png$', 1), '') AS INT) AS page, u AS url FROM (SELECT page_id, 'https://x.example/imgf' || lpad(CAST(page_id % 900 AS VARCHAR), 6, '0') || CASE WHEN page_id % 3 = 0 THEN '' ELSE '_0001.png' END AS u FROM pages)""")
+@query("""SELECT page_id, TRY_CAST(nullif(regexp_extract(u, 'imgf([0-9]{6})_[0-9]{4}\\.png$', 1), '') AS INT) AS page, CASE WHEN page_id % 3 > 0 THEN 1 END AS index, u AS url FROM (SELECT page_id, 'https://x.example/imgf' || lpad(CAST(page_id % 900 AS VARCHAR), 6, '0') || CASE WHEN page_id % 3 = 0 THEN '' ELSE '_0001.png' END AS u FROM pages)""")
 def image_index(spark: SparkSession, sf: str) -> DataFrame:
     u = F.concat(F.lit("//x.example/imgf"), F.lpad((F.col("page_id") % 900).cast("string"), 6, "0"), F.when(F.col("page_id") % 3 == 0, F.lit("")).otherwise(F.lit("_0001.png")))
-    return read(spark, sf, "pages").select("page_id", T.image_page_index(F.concat(u, F.lit("?w=1"))).alias("page"), T.absolute_url(u, "https://y.example").alias("url"))
+    return read(spark, sf, "pages").select("page_id", T.image_page_index(F.concat(u, F.lit("?w=1"))).alias("i"), T.absolute_url(u, "https://y.example").alias("url")).select("page_id", "i.page", "i.index", "url")
 
 
 @query()
@@ -56,15 +56,25 @@ def html_tables(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "pages").select("page_id", F.posexplode_outer(html.html_tables("html")).alias("table_no", "rows"))
 
 
-@query("""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-z]{3,})', 1) AS w FROM documents) SELECT doc_id, CASE WHEN len(w) > 0 THEN round(len(list_filter(w, lambda x: x IN (""" + ", ".join(f"'{v}'" for v in VOCABULARY) + """))) / len(w), 6) ELSE 0 END AS quality FROM w""")
+_KNOWN = ", ".join(f"'{v}'" for v in VOCABULARY)
+_CHEMICAL = "|".join([*(f.replace("(", "\\(").replace(")", "\\)") for f in T.FRAGMENTS), T.SUBSTITUENT])
+_NAMED = "2-(4-methylphenyl)-pyridine Isoindoline, 3-(x) 12-(ab N1a the"
+
+
+@query(rf"""WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, '') || ' ' || CASE WHEN doc_id % 2 = 0 THEN '{_NAMED}' ELSE '' END, '[A-Za-z0-9][A-Za-z0-9()\[\]''’,.\-]*') AS t FROM documents),
+w AS (SELECT doc_id, list_filter(list_transform(t, lambda x: lower(x)), lambda x: length(regexp_replace(x, '[^a-z]', '', 'g')) >= 3) AS w FROM t)
+SELECT doc_id, CASE WHEN len(w) > 0 THEN round(len(list_filter(w, lambda x: regexp_replace(x, '[^a-z]', '', 'g') IN ({_KNOWN}) OR regexp_matches(x, '{_CHEMICAL}'))) / len(w), 6) ELSE 0 END AS quality FROM w""")
 def ocr_quality(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "documents").select("doc_id", F.round(T.ocr_quality(F.col("text"), VOCABULARY), 6).alias("quality"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), F.when(F.col("doc_id") % 2 == 0, F.lit(_NAMED)).otherwise(F.lit("")))
+    return read(spark, sf, "documents").select("doc_id", F.round(T.ocr_quality(text, VOCABULARY), 6).alias("quality"))
 
 
-@query("""SELECT doc_id, '[' || lpad(CAST(doc_id % 9000 AS VARCHAR), 4, '0') || ']' AS paragraph FROM documents WHERE doc_id % 3 = 0""")
+@query(r"""WITH b AS (SELECT doc_id, coalesce(text, '') || '[0001] none [' || lpad(CAST(doc_id % 9000 AS VARCHAR), 4, '0') || '] see Table 1 below and ' || CASE WHEN doc_id % 3 = 0 THEN 'Table 2 below' ELSE 'Table 1 below' END AS t FROM documents),
+p AS (SELECT doc_id, unnest(string_split(regexp_replace(t, '\[([0-9]{4,6})\]', chr(1) || '[\1]', 'g'), chr(1))) AS p FROM b)
+SELECT doc_id, '[' || regexp_extract(p, '\[([0-9]{4,6})\]', 1) || ']' AS paragraph FROM p WHERE len(list_distinct(regexp_extract_all(p, '[Tt]able\s+([0-9]+)\s+below', 1))) >= 2""")
 def cross_refs(spark: SparkSession, sf: str) -> DataFrame:
     tag = F.concat(F.lit("["), F.lpad((F.col("doc_id") % 9000).cast("string"), 4, "0"), F.lit("]"))
-    body = F.concat(F.lit("[0001] none "), tag, F.lit(" see Table 1 below and "), F.when(F.col("doc_id") % 3 == 0, F.lit("Table 2 below")).otherwise(F.lit("Table 1 below")))
+    body = F.concat(F.coalesce("text", F.lit("")), F.lit("[0001] none "), tag, F.lit(" see Table 1 below and "), F.when(F.col("doc_id") % 3 == 0, F.lit("Table 2 below")).otherwise(F.lit("Table 1 below")))
     return read(spark, sf, "documents").select("doc_id", F.explode(T.cross_references(body)).alias("r")).select("doc_id", F.concat(F.lit("["), "r.paragraph", F.lit("]")).alias("paragraph"))
 
 

@@ -58,7 +58,7 @@ _UNITS_OUT = ["nM", "uM", "uM", "uM", "mM", "M", "nm", "%", "%", "M", None, "nM"
 SELECT p_partkey, raw, unit, p_size * CASE unit WHEN 'M' THEN 1e9 WHEN 'mM' THEN 1e6 WHEN 'uM' THEN 1e3 WHEN 'nM' THEN 1.0 END AS value_nm FROM part JOIN u ON p_partkey % 15 = i""")
 def unit_normalize(spark: SparkSession, sf: str) -> DataFrame:
     raw = F.element_at(F.array(*map(F.lit, _UNITS)), (F.col("p_partkey") % len(_UNITS) + 1).cast("int"))
-    return read(spark, sf, "part").select("p_partkey", raw.alias("raw")).join(read(spark, sf, "part").select("p_partkey", "p_size"), "p_partkey").select("p_partkey", "raw", V.normalize_units(F.col("raw")).alias("unit"), V.to_nm(F.col("p_size").cast("double"), F.col("raw")).alias("value_nm"))
+    return read(spark, sf, "part").select("p_partkey", raw.alias("raw"), "p_size").select("p_partkey", "raw", V.normalize_units(F.col("raw")).alias("unit"), V.to_nm(F.col("p_size").cast("double"), F.col("raw")).alias("value_nm"))
 
 
 _KIND = "CASE l_linenumber % 3 WHEN 0 THEN 'DC50' WHEN 1 THEN 'IC50' ELSE 'pIC50' END"
@@ -123,8 +123,8 @@ def seq_accept(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH k AS (SELECT l_orderkey AS doc, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq, CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS n FROM lineitem),
 p AS (SELECT *, lag(n) OVER (PARTITION BY doc ORDER BY seq) AS q FROM k WHERE n IS NOT NULL), x AS (SELECT doc, n, lead(n) OVER (PARTITION BY doc ORDER BY n) AS m FROM (SELECT DISTINCT doc, n FROM k WHERE n IS NOT NULL))
-SELECT doc, 'unreadable' AS kind, CAST(NULL AS BIGINT) AS number FROM k WHERE n IS NULL UNION ALL SELECT doc, 'duplicate', n FROM k WHERE n IS NOT NULL GROUP BY doc, n HAVING count(*) > 1
-UNION ALL SELECT doc, 'order', n FROM p WHERE n < q UNION ALL SELECT doc, 'gap', unnest(range(n + 1, m)) FROM x WHERE m > n + 1""")
+SELECT doc, 'unreadable' AS kind, CAST(NULL AS BIGINT) AS number, CAST(NULL AS BIGINT) AS until FROM k WHERE n IS NULL UNION ALL SELECT doc, 'duplicate', n, NULL FROM k WHERE n IS NOT NULL GROUP BY doc, n HAVING count(*) > 1
+UNION ALL SELECT doc, 'order', n, NULL FROM p WHERE n < q UNION ALL SELECT doc, 'gap', n + 1, m - 1 FROM x WHERE m > n + 1""")
 def seq_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     d = read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc"), F.row_number().over(w).alias("seq"), F.when(F.col("l_returnflag") != "R", big("l_quantity")).alias("n"))
@@ -149,10 +149,13 @@ def group_rulings(spark: SparkSession, sf: str) -> DataFrame:
     return tables.group_positions(p, ["l_suppkey"], "x")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT l_orderkey AS k, CAST(l_quantity AS INT) AS x, row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_quantity AS INT)) AS i FROM lineitem),
+m AS (SELECT k, i, [x] AS acc FROM e WHERE i = 1 UNION ALL SELECT m.k, e.i, CASE WHEN e.x - m.acc[-1] <= 8 THEN m.acc[:-2] || [(m.acc[-1] + e.x) // 2] ELSE m.acc || [e.x] END FROM m JOIN e ON e.k = m.k AND e.i = m.i + 1),
+d AS (SELECT k, arg_max(acc, i) AS acc FROM m GROUP BY k), b(k, acc, j, kept) AS (SELECT k, acc, 1, [acc[1]] FROM d UNION ALL SELECT k, acc, j + 1, CASE WHEN acc[j + 1] - kept[-1] >= 12 THEN kept || [acc[j + 1]] ELSE kept END FROM b WHERE j < len(acc))
+SELECT k AS l_orderkey, array_to_string(arg_max(acc, j), ',') AS rulings, array_to_string(arg_max(kept, j), ',') AS bands FROM b GROUP BY k""")
 def merge_boundaries(spark: SparkSession, sf: str) -> DataFrame:
     e = read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.col("l_quantity").cast("int")).alias("edges"))
-    return e.select("l_orderkey", tables.merge_edges(F.col("edges")).alias("rulings"))
+    return e.select("l_orderkey", F.array_join(tables.merge_edges(F.col("edges")), ",").alias("rulings"), F.array_join(tables.merge_edges(F.col("edges"), least_band=12), ",").alias("bands"))
 
 
 _BOX = "p_partkey % 97 AS x0, p_partkey % 89 AS y0, p_partkey % 97 + p_size AS x1, p_partkey % 89 + 20 AS y1"
@@ -165,36 +168,50 @@ def iou_agreement(spark: SparkSession, sf: str) -> DataFrame:
     box = lambda k, wide: F.expr(f"struct({k} % 97 AS x0, {k} % 89 AS y0, {k} % 97 + {wide} AS x1, {k} % 89 + 20 AS y1)")
     a = read(spark, sf, "part").select("p_partkey", (F.col("p_size") % 7).cast("long").alias("page"), box("p_partkey", "p_size").alias("a"))
     b = read(spark, sf, "supplier").select("s_suppkey", (F.col("s_suppkey") % 7).alias("page"), box("s_suppkey", "25").alias("b"))
-    return a.join(b, "page").select("p_partkey", "s_suppkey", F.round(tables.iou("a", "b"), 6).alias("iou")).where("iou >= 0.5")
+    return tables.overlapping(a, b, ["page"], "a", "b").select("p_partkey", "s_suppkey", F.round(tables.iou("a", "b"), 6).alias("iou")).where("iou >= 0.5")
 
 
-@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS k FROM orders)
-SELECT 'linked' AS status, c_custkey, o_orderkey FROM customer JOIN r ON c_custkey = o_custkey AND k = 1 WHERE c_custkey % 10 <> 3
-UNION ALL SELECT 'left', c_custkey, NULL FROM customer WHERE c_custkey % 10 <> 3 AND c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT 'right', o_custkey, o_orderkey FROM r WHERE k = 1 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 3)""")
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS k FROM orders), c AS (SELECT c_custkey, CASE WHEN c_custkey % 10 <> 3 THEN c_custkey END AS number FROM customer)
+SELECT 'linked' AS status, c_custkey, o_orderkey FROM c JOIN r ON number = o_custkey AND k = 1 UNION ALL SELECT 'left', c_custkey, NULL FROM c WHERE number IS NULL OR number NOT IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT 'right', NULL, o_orderkey FROM r WHERE k = 1 AND o_custkey NOT IN (SELECT number FROM c WHERE number IS NOT NULL)""")
 def link_exact_anti(spark: SparkSession, sf: str) -> DataFrame:
-    left = read(spark, sf, "customer").where("c_custkey % 10 <> 3").select("c_custkey")
-    right = read(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    linked, lonely, stray = linking.link_keyed(left, right, "c_custkey", "o_orderkey")
-    say = lambda s, d, o=F.col("o_orderkey"): d.select(F.lit(s).alias("status"), "c_custkey", o.alias("o_orderkey"))
-    return say("linked", linked).unionByName(say("left", lonely, F.lit(None).cast("long"))).unionByName(say("right", stray))
-
-
-@query()
+    left = read(spark, sf, "customer").select("c_custkey", F.expr("CASE WHEN c_custkey % 10 <> 3 THEN c_custkey END").alias("number"))
+    right = read(spark, sf, "orders").select(F.col("o_custkey").alias("number"), "o_orderkey")
+    linked, lonely, stray = linking.link_keyed(left, right, "number", "o_orderkey")
+    null = F.lit(None).cast("long")
+    say = lambda s, d, c=F.col("c_custkey"), o=F.col("o_orderkey"): d.select(F.lit(s).alias("status"), c.alias("c_custkey"), o.alias("o_orderkey"))
+    return say("linked", linked).unionByName(say("left", lonely, o=null)).unionByName(say("right", stray, c=null))
+
+
+def _examples(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Entities in documents of 50, and an example for each: told by its key, by its misspelt name, by its skeleton, or by nothing."""
+    doc, key = F.expr("concat('D', p_partkey div 50)"), F.upper(F.md5(F.col("p_partkey").cast("string")))
+    p = read(spark, sf, "part").select(doc.alias("doc"), F.col("p_partkey").alias("entity_seq"), key.alias("full_key"), F.substring(key, 1, 14).alias("skeleton"), F.sha1(F.col("p_partkey").cast("string")).alias("name"))
+    at = lambda k, c: F.when(F.col("entity_seq") % 4 == k, c)
+    e = p.select(
+        "doc", F.col("entity_seq").alias("example_seq"), at(0, F.col("full_key")).alias("full_key"), F.coalesce(at(0, F.col("skeleton")), at(2, F.col("skeleton"))).alias("skeleton"),
+        F.coalesce(at(0, F.col("name")), at(1, F.concat("name", F.lit("x"))), F.lit("q")).alias("name"),
+    )
+    return p, e
+
+
+@query("""SELECT 'D' || CAST(p_partkey // 50 AS VARCHAR) AS doc, p_partkey AS example_seq, p_partkey AS entity_seq, CASE p_partkey % 4 WHEN 0 THEN 'full' WHEN 1 THEN 'name' ELSE 'skeleton' END AS method,
+CASE p_partkey % 4 WHEN 0 THEN 'full,name,skeleton' WHEN 1 THEN 'name' ELSE 'skeleton' END AS agreed FROM part WHERE p_partkey % 4 < 3""")
 def link_precedence(spark: SparkSession, sf: str) -> DataFrame:
-    p = read(spark, sf, "part").select(F.col("p_brand").alias("doc"), F.col("p_partkey").alias("entity_seq"), F.md5("p_name").alias("full_key"), F.substring(F.md5("p_name"), 1, 14).alias("skeleton"), F.col("p_name").alias("name"))
-    e = p.where("entity_seq % 5 = 0").select("doc", F.col("entity_seq").alias("example_seq"), F.when(F.col("entity_seq") % 2 == 0, F.col("full_key")).alias("full_key"), F.lit(None).cast("string").alias("skeleton"), F.concat("name", F.lit("x")).alias("name"))
-    return linking.claim(linking.precedence_candidates(e, p))
+    p, e = _examples(spark, sf)
+    return linking.claim(linking.precedence_candidates(e, p)).select("doc", "example_seq", "entity_seq", "method", F.array_join("agreed", ",").alias("agreed"))
 
 
-@query("""WITH a AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE md5(CAST(quality AS VARCHAR)) END AS a FROM labels), b AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN left(md5(CAST(toxic AS VARCHAR)), 14) || 'X' ELSE md5(CAST(toxic AS VARCHAR)) END AS b FROM labels WHERE doc_id % 4 <> 1),
-k AS (SELECT doc_id, nullif(trim(a), '') AS a, nullif(trim(b), '') AS b FROM a LEFT JOIN b USING (doc_id))
-SELECT doc_id, CASE WHEN a IS NULL AND b IS NULL THEN 'NONE' WHEN a IS NULL OR b IS NULL THEN 'SINGLE_SOURCE' WHEN a = b THEN 'AGREE_FULL' WHEN left(a, 14) = left(b, 14) THEN 'AGREE_SKELETON' ELSE 'CONFLICT' END AS tier FROM k""")
+@query("""WITH a AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE md5(CAST(quality AS VARCHAR)) END AS a, CASE WHEN doc_id % 4 = 1 THEN NULL WHEN doc_id % 7 = 0 THEN left(md5(CAST(toxic AS VARCHAR)), 14) || 'X' ELSE md5(CAST(toxic AS VARCHAR)) END AS b FROM labels),
+k AS (SELECT doc_id, nullif(trim(a), '') AS a, nullif(trim(b), '') AS b FROM a), t AS (SELECT *, CASE WHEN a IS NULL AND b IS NULL THEN 'NONE' WHEN a IS NULL OR b IS NULL THEN 'SINGLE_SOURCE' WHEN a = b THEN 'AGREE_FULL' WHEN left(a, 14) = left(b, 14) THEN 'AGREE_SKELETON' ELSE 'CONFLICT' END AS tier FROM k)
+SELECT doc_id, tier, coalesce(a, b) AS key, left(coalesce(a, b), 14) AS skeleton, CASE WHEN tier LIKE 'AGREE%' THEN 'name+image' WHEN a IS NOT NULL THEN 'name' WHEN b IS NOT NULL THEN 'image' ELSE 'none' END AS source FROM t""")
 def tier_crosscheck(spark: SparkSession, sf: str) -> DataFrame:
-    d = read(spark, sf, "labels")
-    a = d.select("doc_id", F.when(F.col("doc_id") % 5 == 0, F.lit(" ")).otherwise(F.md5(F.col("quality").cast("string"))).alias("a"))
     h = F.md5(F.col("toxic").cast("string"))
-    b = d.where("doc_id % 4 <> 1").select("doc_id", F.when(F.col("doc_id") % 7 == 0, F.concat(F.substring(h, 1, 14), F.lit("X"))).otherwise(h).alias("b"))
-    return a.join(b, "doc_id", "full_outer").select("doc_id", linking.tier(F.col("a"), F.col("b")).alias("tier"))
+    d = read(spark, sf, "labels").select(
+        "doc_id", F.when(F.col("doc_id") % 5 == 0, F.lit(" ")).otherwise(F.md5(F.col("quality").cast("string"))).alias("a"),
+        F.when(F.col("doc_id") % 4 != 1, F.when(F.col("doc_id") % 7 == 0, F.concat(F.substring(h, 1, 14), F.lit("X"))).otherwise(h)).alias("b"),
+    )
+    return d.select("doc_id", linking.cross_check(F.col("a"), F.col("b")).alias("c")).select("doc_id", "c.*")
 
 
 _SCORE = "CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 1 END"
@@ -204,32 +221,34 @@ r AS (SELECT *, row_number() OVER (ORDER BY potency DESC, top_bins DESC, qed DES
 t AS (SELECT *, count(*) OVER (PARTITION BY tie_group) AS tie_size, CASE WHEN lag(potency) OVER w IS NULL THEN 'top' WHEN potency <> lag(potency) OVER w THEN 'potency' WHEN top_bins <> lag(top_bins) OVER w THEN 'top-bin count' WHEN qed IS DISTINCT FROM lag(qed) OVER w THEN 'QED' ELSE 'tied' END AS signal FROM r WINDOW w AS (ORDER BY rank))"""
 
 
-def _ranked(spark: SparkSession, sf: str) -> DataFrame:
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
     scores = read(spark, sf, "orders").select("o_custkey", F.expr(_SCORE).alias("bin_score"))
     c = read(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 > 0, F.round("c_acctbal")).alias("qed"), F.lit(None).cast("double").alias("mw"))
-    e = c.join(scoring.potency(scores, "o_custkey").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left").withColumn("top_bins", F.coalesce("top_bins", F.lit(0).cast("long")))
-    return scoring.rank(e, "c_custkey")
+    return c.join(scoring.potency(scores, "o_custkey").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left").withColumn("top_bins", F.coalesce("top_bins", F.lit(0).cast("long")))
 
 
 @query(f"WITH {_RANK_SQL} SELECT c_custkey, CAST(potency AS BIGINT) AS potency, top_bins, qed, rank, tie_group, tie_size, signal FROM t UNION ALL SELECT c_custkey, NULL, top_bins, qed, NULL, NULL, NULL, NULL FROM e WHERE potency IS NULL")
 def rank_tiegroups(spark: SparkSession, sf: str) -> DataFrame:
-    return _ranked(spark, sf).select("c_custkey", "potency", "top_bins", "qed", big("rank").alias("rank"), big("tie_group").alias("tie_group"), "tie_size", "signal")
+    return scoring.rank(_scored(spark, sf), "c_custkey").select("c_custkey", "potency", "top_bins", "qed", "rank", "tie_group", "tie_size", "signal")
 
 
 @query(f"WITH {_RANK_SQL} SELECT c_custkey, rank, tie_group FROM t WHERE rank <= 10")
 def shortlist_top10(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.shortlist(_ranked(spark, sf), 10).select("c_custkey", big("rank").alias("rank"), big("tie_group").alias("tie_group"))
+    return scoring.shortlist(_scored(spark, sf), "c_custkey", 10).select("c_custkey", "rank", "tie_group")
 
 
 _LSCORE = "CASE WHEN l_quantity < 10 THEN 1 WHEN l_quantity < 30 THEN 2 WHEN l_quantity < 45 THEN 3 END"
 
 
+_ASSAY = "CASE l_returnflag WHEN 'A' THEN 'wiz' WHEN 'N' THEN 'ZBTB7A assay' ELSE 'x WIZ y' END"
+
+
 @query(f"""WITH s AS (SELECT l_orderkey, l_returnflag, {_LSCORE} AS b, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS k FROM lineitem),
-a AS (SELECT l_orderkey, arg_min(b, k) FILTER (l_returnflag = 'A' AND b IS NOT NULL) AS a, arg_min(b, k) FILTER (l_returnflag = 'N' AND b IS NOT NULL) AS n FROM s GROUP BY l_orderkey) SELECT l_orderkey, CAST(a - n AS BIGINT) AS selectivity FROM a""")
+a AS (SELECT l_orderkey, coalesce(arg_min(b, k) FILTER (l_returnflag = 'A' AND b IS NOT NULL), arg_min(b, k) FILTER (l_returnflag = 'R' AND b IS NOT NULL)) AS a, arg_min(b, k) FILTER (l_returnflag = 'N' AND b IS NOT NULL) AS n FROM s GROUP BY l_orderkey) SELECT l_orderkey, CAST(a - n AS BIGINT) AS selectivity FROM a""")
 def selectivity(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    s = read(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", F.expr(_LSCORE).alias("bin_score"), F.row_number().over(w).alias("k"))
-    return scoring.selectivity(s, "l_orderkey", "l_returnflag", "A", "N", "k").withColumn("selectivity", big("selectivity"))
+    s = read(spark, sf, "lineitem").select("l_orderkey", F.expr(_ASSAY).alias("assay"), F.expr(_LSCORE).alias("bin_score"), F.row_number().over(w).alias("k"))
+    return scoring.selectivity(s, "l_orderkey", "assay", "WIZ", "ZBTB7A", "k").withColumn("selectivity", big("selectivity"))
 
 
 _FLAGS = ("A", "N", "R")
@@ -242,15 +261,27 @@ def wide_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return tables.wide(s, "l_orderkey", "l_returnflag", "v", "k", _FLAGS)
 
 
-_EVAL_SQL = """k AS (SELECT l_orderkey, l_linenumber, any_value(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)) AS v FROM lineitem GROUP BY ALL HAVING count(*) = 1),
-g AS (SELECT l_orderkey AS id, l_linenumber AS assay, CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE v END AS value FROM k WHERE l_orderkey % 17 <> 0), p AS (SELECT l_orderkey AS id, l_linenumber AS assay, CASE WHEN l_orderkey % 13 = 0 THEN v || '0' ELSE v END AS value FROM k WHERE l_orderkey % 7 <> 0),
+_EVAL_SQL = """r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq FROM lineitem),
+v AS (SELECT l_orderkey, seq, CASE l_linenumber % 3 WHEN 0 THEN 'WIZ' WHEN 1 THEN 'ZBTB7A' ELSE 'HIBIT' || CAST(l_linenumber AS VARCHAR) END AS assay, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS said,
+  CASE WHEN l_returnflag = 'R' THEN '' WHEN l_returnflag = 'A' THEN 'B' || CAST(l_linenumber AS VARCHAR) ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || CASE WHEN l_orderkey % 13 = 0 THEN '0' ELSE '' END END AS got FROM r),
+p AS (SELECT l_orderkey AS id, assay, arg_max(got, seq) AS value FROM v WHERE got <> '' GROUP BY ALL),
+g AS (SELECT l_orderkey + CASE WHEN l_orderkey % 17 = 0 THEN 1000000000 ELSE 0 END AS id, assay, CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE arg_max(said, seq) END AS value FROM v GROUP BY l_orderkey, assay),
 s AS (SELECT coalesce(g.id, p.id) AS id, coalesce(g.assay, p.assay) AS assay, g.value AS expected, p.value AS got, CASE WHEN g.id IS NULL THEN 'unlisted' WHEN g.value IS NULL AND p.value IS NOT NULL THEN 'spurious' WHEN g.value IS NULL THEN 'blank' WHEN p.value IS NULL THEN 'missing' WHEN p.value = g.value THEN 'correct' ELSE 'wrong' END AS status FROM g FULL JOIN p ON g.id = p.id AND g.assay = p.assay)"""
 
 
 def _status(spark: SparkSession, sf: str) -> DataFrame:
-    k = read(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("assay")).agg(F.count("*").alias("n"), F.first(big("l_quantity").cast("string")).alias("v")).where("n = 1")
-    gold = k.where("id % 17 <> 0").select("id", "assay", F.when(F.col("id") % 11 != 0, F.col("v")).alias("value"))
-    pred = k.where("id % 7 <> 0").select("id", "assay", F.when(F.col("id") % 13 == 0, F.concat("v", F.lit("0"))).otherwise(F.col("v")).alias("value"))
+    """Gold has the last quantity of each assay of an order, without some values and under other ids; predictions come from measurements, the last that says something."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    said = big("l_quantity").cast("string")
+    m = read(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("entity"), F.row_number().over(w).alias("seq"), F.when(F.col("l_linenumber") % 3 == 0, " wiz").when(F.col("l_linenumber") % 3 == 1, "").alias("target"),
+        F.when(F.col("l_linenumber") % 3 == 1, F.lit("zbt b7a (uM)")).otherwise(F.concat(F.lit("HiBiT #"), "l_linenumber")).alias("name"), F.when(F.col("l_returnflag") == "A", F.concat(F.lit("B"), "l_linenumber")).alias("bin_label"),
+        F.when(F.col("l_returnflag") != "R", F.concat(said, F.when(F.col("l_orderkey") % 13 == 0, "0").otherwise(""))).otherwise("").alias("published_value"), said.alias("said"),
+    )
+    pred = scoring.predicted_values(m, m.select("entity", F.col("entity").alias("local_id")).distinct())
+    ident = F.expr("entity + CASE WHEN entity % 17 = 0 THEN 1000000000 ELSE 0 END").alias("id")
+    last = m.select("entity", ident, "seq", scoring.assay_identity(F.col("target"), F.col("name")).alias("assay"), "said").groupBy("entity", "id", "assay").agg(F.max_by("said", "seq").alias("said"))
+    gold = last.select("id", "assay", F.when(F.col("entity") % 11 != 0, F.col("said")).alias("value"))
     return scoring.cell_status(gold, pred)
 
 
@@ -281,7 +312,7 @@ UNION ALL SELECT o_orderkey, 'medium', 'large' FROM orders WHERE o_totalprice >
 def review_queue(spark: SparkSession, sf: str) -> DataFrame:
     o = read(spark, sf, "orders")
     rules = [("high", "parse_failure", F.col("o_orderkey") % 50 == 0), ("medium", "low_confidence", F.col("o_totalprice") < 20000), ("medium", "large", F.col("o_totalprice") > 400000), ("info", "open", F.col("o_orderstatus") == "O")]
-    return review.sorted_queue(review.findings(o, ["o_orderkey"], rules), "o_orderkey")
+    return review.sorted_queue(review.findings(o, ["o_orderkey"], rules).drop("rule_no"), "o_orderkey")
 
 
 @query("""SELECT user_id AS target_id, event_type AS field, arg_min(CAST(event_id AS VARCHAR), event_id) AS original, arg_max(props, event_id) AS corrected, count(*) AS n_edits FROM events GROUP BY ALL""")
@@ -290,9 +321,9 @@ def audit_log(spark: SparkSession, sf: str) -> DataFrame:
     return review.latest_corrections(log)
 
 
-@query("""WITH l AS (SELECT user_id % 1500 AS c, arg_max(event_id, event_id) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1) SELECT c_custkey, c_name, coalesce(CAST(v AS DOUBLE), c_acctbal) AS c_acctbal FROM customer LEFT JOIN l ON c = c_custkey""")
+@query("""WITH l AS (SELECT user_id % 1500 AS c, arg_max(event_id, event_id) AS v FROM events GROUP BY 1) SELECT c_custkey, c_name, coalesce(CAST(v AS DOUBLE), c_acctbal) AS c_acctbal FROM customer LEFT JOIN l ON c = c_custkey""")
 def audit_replay(spark: SparkSession, sf: str) -> DataFrame:
-    log = read(spark, sf, "events").where("event_id % 2 = 0").select((F.col("user_id") % 1500).alias("target_id"), F.lit("c_acctbal").alias("field"), F.col("event_id").cast("string").alias("corrected"), F.col("event_id").alias("seq"))
+    log = read(spark, sf, "events").select((F.col("user_id") % 1500).alias("target_id"), F.lit("c_acctbal").alias("field"), F.col("event_id").cast("string").alias("corrected"), F.col("event_id").alias("seq"))
     return review.replay(read(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), "c_custkey", log, ["c_acctbal"])
 
 
