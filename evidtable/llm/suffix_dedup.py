@@ -39,7 +39,7 @@ from .common import map_arrow, slices, stage
 LENGTH = 400
 GRAM = 128
 WORDS = 50
-WORD_GRAM = 26
+WORD_GRAM = 16
 SHALLOW = 32
 #: A hash at more places than these is dealt by ``peel``.
 HOT = 512
@@ -48,6 +48,8 @@ REMEMBERED = 100_000
 #: Groups of at most so many different surroundings are compared by pairs; larger ones by class at each shift.
 PAIRED = 24
 _BLOCK = 1 << 22
+#: Units of texts that are hashed side by side.
+_BESIDE = 1 << 18
 
 
 class Scale(NamedTuple):
@@ -128,6 +130,8 @@ def _blind_trie(strings: list[bytes], group: list[int], depth: int) -> tuple[lis
 
 def deep_shallow_sort(strings: list[bytes], depth: int = 0, shallow: int = SHALLOW) -> tuple[list[int], list[int]]:
     """Sorted order of ``strings``, which agree to ``depth``; the common prefix of each with the one before it (0 for the first)."""
+    if len(strings) == 2:  # one comparison
+        return [0, 1] if strings[0] <= strings[1] else [1, 0], [0, common_prefix(strings[0], strings[1], depth)]
     order: list[int] = []
     stack = [(list(range(len(strings))), depth)]
     limit = depth + shallow
@@ -198,30 +202,67 @@ def units_of(data: bytes, scale: Scale) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
 
 
-def anchors(every: np.ndarray, scale: Scale = SCALES[0]) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (in units) and hashes of the anchors of a text's units."""
+def _picked(every: np.ndarray, scale: Scale, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted positions of the anchors of the windows at ``starts`` (all without it), and their hashes."""
     width = scale.length - scale.gram + 1
+    h = _hashes(every, scale)
+    n = len(h)
+    key = (h & np.uint64(0xFFFFFFFFFF000000)) | (np.uint64(0xFFFFFF) - np.arange(n, dtype=np.uint64))
+    full = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
+    full[:n] = key
+    grid = full.reshape(-1, width)
+    ahead = np.minimum.accumulate(grid, axis=1).ravel()
+    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    low = np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
+    low = low if starts is None else low[starts]
+    low = low[np.concatenate([[True], low[1:] != low[:-1]])]
+    p = np.unique((np.uint64(0xFFFFFF) - (low & np.uint64(0xFFFFFF))).astype(np.int64))
+    return p, h[p].view(np.int64)
+
+
+def anchors(every: np.ndarray, scale: Scale = SCALES[0]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (in units) and hashes of the anchors of a text's units, block by block."""
     if len(every) < scale.length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pos, hashes = [], []
     for at in range(0, len(every) - scale.length + 1, _BLOCK):
-        part = every[at : at + _BLOCK + scale.length - 1]
-        h = _hashes(part, scale)
-        n = len(h)
-        key = (h & np.uint64(0xFFFFFFFFFF000000)) | (np.uint64(0xFFFFFF) - np.arange(n, dtype=np.uint64))
-        full = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
-        full[:n] = key
-        grid = full.reshape(-1, width)
-        ahead = np.minimum.accumulate(grid, axis=1).ravel()
-        behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-        low = np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
-        low = low[np.concatenate([[True], low[1:] != low[:-1]])]
-        p = (np.uint64(0xFFFFFF) - (low & np.uint64(0xFFFFFF))).astype(np.int64)
+        p, h = _picked(every[at : at + _BLOCK + scale.length - 1], scale)
         pos.append(p + at)
-        hashes.append(h[p].view(np.int64))
-    p, h = np.concatenate(pos), np.concatenate(hashes)
-    p, first = np.unique(p, return_index=True)
-    return p, h[first]
+        hashes.append(h)
+    p, first = np.unique(np.concatenate(pos), return_index=True)
+    return p, np.concatenate(hashes)[first]
+
+
+def all_anchors(texts: list[np.ndarray], scale: Scale) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``anchors`` of each of many texts; short ones lie side by side in one array, and only windows inside a text count."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(texts)
+    held: list[int] = []
+    size = 0
+
+    def close() -> None:
+        if not held:
+            return
+        sizes = np.array([len(texts[i]) for i in held])
+        begin = np.concatenate([[0], np.cumsum(sizes)])
+        windows = sizes - scale.length + 1
+        shift = np.repeat(begin[:-1] - np.concatenate([[0], np.cumsum(windows)[:-1]]), windows)
+        p, h = _picked(np.concatenate([texts[i] for i in held]), scale, np.arange(windows.sum()) + shift)
+        cut = np.searchsorted(p, begin)
+        for k, i in enumerate(held):
+            out[i] = p[cut[k] : cut[k + 1]] - begin[k], h[cut[k] : cut[k + 1]]
+        held.clear()
+
+    for i, units in enumerate(texts):
+        if len(units) > _BESIDE:
+            out[i] = anchors(units, scale)
+        elif len(units) >= scale.length:
+            if size + len(units) > _BESIDE:
+                close()
+                size = 0
+            held.append(i)
+            size += len(units)
+    close()
+    return out
 
 
 # ---- groups
@@ -322,16 +363,16 @@ def _all_anchors(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            size, words, sha, once, again = [], [], [], [], []
-            for x in b.column(1):
-                data = (x.as_py() or "").encode()
-                units = [units_of(data, scale) for scale in SCALES]
-                h, n = np.unique(np.concatenate([anchors(u, scale)[1] for u, scale in zip(units, SCALES, strict=True)]), return_counts=True)
-                size.append(len(data))
-                words.append(len(units[1]))
-                sha.append(hashlib.sha256(data).hexdigest())
-                once.append(h)
-                again.append(np.repeat(h, n - 1))
+            every = [(x.as_py() or "").encode() for x in b.column(1)]
+            units = [[units_of(data, scale) for data in every] for scale in SCALES]
+            found = [all_anchors(u, scale) for u, scale in zip(units, SCALES, strict=True)]
+            size, words, sha = list(map(len, every)), list(map(len, units[1])), [hashlib.sha256(data).hexdigest() for data in every]
+            once, again = [], []
+            for (_, own), (_, other) in zip(*found, strict=True):
+                h = np.sort(np.concatenate([own, other]))
+                new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+                once.append(h[new])
+                again.append(h[~new])
             longs = pa.list_(pa.int64())
             digest = pa.array([bytes.fromhex(s[:32]) for s in sha], pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -363,17 +404,17 @@ def _surroundings(texts: DataFrame, wanted: str) -> DataFrame:
         seen: dict[bytes, list] = {}
         for b in slices(batches, 64):
             out: list[tuple] = []
-            for digest, text, hashes in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                whole, use = (text.as_py() or "").encode(), np.array(hashes.as_py(), np.int64)
-                for scale in SCALES:
-                    own = use[use & 1 == scale.kind]
-                    if not own.size:
+            known: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+            digests, every = b.column(0).to_pylist(), [(x.as_py() or "").encode() for x in b.column(1)]
+            use = [np.array(x.as_py(), np.int64) for x in b.column(2)]
+            for scale in SCALES:
+                own = [x[x & 1 == scale.kind] for x in use]
+                units = [units_of(data, scale) if len(x) else np.zeros(0, np.uint8) for data, x in zip(every, own, strict=True)]
+                for digest, whole, ask, u, (pos, h) in zip(digests, every, own, units, all_anchors(units, scale), strict=True):
+                    if not len(ask):
                         continue
-                    units = units_of(whole, scale)
-                    pos, h = anchors(units, scale)
-                    data = whole if scale.unit == 1 else units.astype("<u4").tobytes()
-                    at = np.isin(h, own)
-                    known: list[tuple[int, int]] = []
+                    data = whole if scale.unit == 1 else u.astype("<u4").tobytes()
+                    at = np.isin(h, ask)
                     for p, k in zip((pos[at] * scale.unit).tolist(), h[at].tolist(), strict=True):
                         left, right = data[max(0, p - scale.reach) : p], data[p : p + scale.size]
                         name = hashlib.blake2b(b"%d:%d:" % (scale.kind, len(left)) + left + right, digest_size=16).digest()
@@ -382,11 +423,11 @@ def _surroundings(texts: DataFrame, wanted: str) -> DataFrame:
                             seen[name] = [digest, p, False]
                             out.append((k, digest, p, left[::-1], right, None))
                         elif (first[0], first[1]) != (digest, p) and len(left) + len(right) >= scale.size:
-                            known.append((p - len(left), p + len(right)))
+                            known.setdefault((scale.kind, digest), []).append((p - len(left), p + len(right)))
                             if not first[2]:
                                 first[2] = True
-                                out.append(_known(scale.kind, first[0], first[1] - len(left), first[1] + len(right)))
-                    out += [_known(scale.kind, digest, a, z) for a, z in _merged(known)]
+                                known.setdefault((scale.kind, first[0]), []).append((first[1] - len(left), first[1] + len(right)))
+            out += [_known(kind, digest, a, z) for (kind, digest), found in known.items() for a, z in _merged(found)]
             if len(seen) > REMEMBERED:
                 seen.clear()
             if out:
@@ -497,9 +538,14 @@ def _cut(texts: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 64):
             removed, spans, sha, words = [], [], [], []
-            for text, found in zip(b.column(1), b.column(2), strict=True):
+            found = b.column(2)
+            kinds, starts, stops = (found.flatten().field(c).to_pylist() for c in ("kind", "start", "stop"))
+            ends = np.cumsum(found.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            for text, lo, hi in zip(b.column(1), [0, *ends], ends, strict=False):
                 data, at, rest = (text.as_py() or "").encode(), 0, []
-                by_kind = [[(x["start"], x["stop"]) for x in found.as_py() if x["kind"] == scale.kind] for scale in SCALES]
+                by_kind: tuple[list, list] = [], []
+                for k, a, z in zip(kinds[lo:hi], starts[lo:hi], stops[lo:hi], strict=True):
+                    by_kind[k].append((a, z))
                 cut = _merged(by_kind[0])
                 for a, z in cut:
                     rest.append(data[at:a])
@@ -515,8 +561,8 @@ def _cut(texts: DataFrame) -> DataFrame:
     return map_arrow(texts, work, "digest binary, n_removed long, n_spans long, kept_sha256 string, n_passage_words long")
 
 
-def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Staged tables: every row with its digest; texts that share something, once each; their repeated spans."""
+def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Staged tables: every row with its digest; each different text with its copies; texts that share something; their repeated spans."""
     rows = stage(_all_anchors(docs), "anchors")
     texts = stage(rows.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.first("hashes").alias("hashes"), F.first("again").alias("again")), "texts")
     once = texts.select(F.explode("hashes").alias("h"), F.lit(1).alias("n")).union(texts.select(F.explode("again").alias("h"), F.lit(1).alias("n")))
@@ -532,14 +578,16 @@ def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             met = met.union(part)
     met = met.repartition("h").sortWithinPartitions("h")
     spans = stage(_spans(met).groupBy("digest").agg(F.collect_list(F.struct("kind", "start", "stop")).alias("spans")), "spans")
-    return rows.join(texts.select("digest", "copies"), "digest"), sharing, spans
+    return rows, texts, sharing, spans
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words of every row."""
-    rows, sharing, spans = repeated(docs)
-    cut = stage(_cut(sharing.select("digest", "text").join(spans, "digest")).dropDuplicates(["digest"]), "cut")
-    found = rows.select("doc_id", "digest", "n_bytes", "n_words", "sha256", "copies").join(cut, "digest", "left")
+    rows, texts, sharing, spans = repeated(docs)
+    cut = _cut(sharing.select("digest", "text").join(spans, "digest")).dropDuplicates(["digest"])
+    # one staged row for each text: its copies, however many, meet it in a join of plain scans, which a hot text can be split in
+    each = stage(texts.select("digest", "copies").join(cut, "digest", "left"), "cut")
+    found = rows.select("doc_id", "digest", "n_bytes", "n_words", "sha256").join(each, "digest")
 
     def pick(all_gone: Column, none: Column, name: str, whole: Column) -> Column:
         return F.when((F.col("copies") > 1) & whole, all_gone).otherwise(F.coalesce(F.col(name), none)).alias(name)
