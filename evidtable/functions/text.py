@@ -175,6 +175,6 @@ def interval_text(lower: Column, upper: Column, relation: Column | None = None,
 
 def rounded_interval(lower: Column, upper: Column, units: Column) -> Column:
     """The interval for the eye: two decimals and units; null without bounds."""
-    two = lambda c: F.format_number(c, "0.0#")
+    two = lambda c: F.regexp_replace(F.format_string("%.2f", c), "0$", "")
     span = F.when(lower.isNotNull() & upper.isNotNull(), F.concat(two(lower), F.lit("–"), two(upper))).when(upper.isNotNull(), F.concat(F.lit("< "), two(upper))).when(lower.isNotNull(), F.concat(F.lit("> "), two(lower)))
     return F.trim(F.concat(span, F.lit(" "), F.coalesce(units, F.lit(""))))

@@ -92,22 +92,29 @@ def match_headers(rows, header: str):  # noqa: ANN001, ANN201
     The lexicon is a fixed table, so verbatim and alias matching are expressions; only what is left reaches the
     similarity, and each different header is compared once per Python worker.
     """
+    own = rows.columns
+
+    def step(df, **made: Column):  # noqa: ANN202
+        """``df`` with more columns behind a generator: the optimizer would merge the steps and repeat each expression in every later one."""
+        return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in made.items()]))))
+
     cleaned = collapse(F.col(header))
-    core, units = split_units(cleaned)
-    exact = lookup(fold(cleaned), {text.lower(): i for i, (text, *_) in enumerate(HEADERS)})
+    exact = F.when(F.col("_clean") != "", lookup(fold(F.col("_clean")), {text.lower(): i for i, (text, *_) in enumerate(HEADERS)}))
     bounded = lambda alias: rf"(?i)(?<![A-Za-z0-9])\Q{alias}\E(?![A-Za-z0-9])"
     alias = F.coalesce(*[F.when(F.col("_core").rlike(bounded(text)), F.lit(i)) for i, (text, *_) in enumerate(ENTRIES) if i >= len(HEADERS)])
-    out = rows.withColumns({"_clean": cleaned, "_core": core, "_units": units, "_exact": F.when(cleaned != "", exact)})
-    out = out.withColumn("_alias", F.when(F.col("_exact").isNull() & (F.col("_clean") != ""), alias))
+    core, units = split_units(F.col("_clean"))
+    out = step(step(rows, _clean=cleaned), _core=core, _units=units, _exact=exact)
+    out = step(out, _alias=F.when(F.col("_exact").isNull() & (F.col("_clean") != ""), alias))
     rest = F.col("_exact").isNull() & F.col("_alias").isNull() & (F.col("_clean") != "")
     out = out.withColumn("_near", similar_entry(F.when(rest, fold(F.col("_clean"))), F.when(rest, fold(F.col("_core")))))
-    at = F.coalesce("_exact", "_alias", "_near.entry")
-    field = lambda k: lookup(at, {i: e[k] for i, e in enumerate(ENTRIES) if e[k] is not None})
-    residual = F.regexp_replace(F.regexp_replace("_core", F.concat(F.lit(r"(?i)\Q"), field(0), F.lit(r"\E")), F.lit(" ")), DOSE, " ")
+    out = step(out, _at=F.coalesce("_exact", "_alias", "_near.entry"))
+    entry = F.try_element_at(F.array(*[F.struct(*[F.lit(x).cast(t).alias(n) for x, n, t in zip(e, ("text", "kind", "bao", "log", "unit", "target"), ("string", "string", "string", "boolean", "string", "string"), strict=True)]) for e in ENTRIES]), F.col("_at") + 1)
+    out = step(out, _e=entry)
+    residual = F.regexp_replace(F.regexp_replace("_core", F.concat(F.lit(r"(?i)\Q"), F.col("_e.text"), F.lit(r"\E")), F.lit(" ")), DOSE, " ")
     residual = F.nullif(F.regexp_replace(collapse(residual), r"^[ \-,;:()\[\]%.]+|[ \-,;:()\[\]%.]+$", ""), F.lit(""))
     confidence = F.when(F.col("_exact").isNotNull(), 1.0).when(F.col("_alias").isNotNull(), ALIAS_CONFIDENCE).otherwise(F.col("_near.ratio"))
     found = F.struct(
-        field(1).alias("standard_type"), F.when(~field(3), F.coalesce("_units", field(4))).alias("units"), F.coalesce(field(5), residual).alias("target"), field(2).alias("bao_endpoint"),
-        field(3).alias("is_log_form"), confidence.alias("confidence"), field(0).alias("matched"),
+        F.col("_e.kind").alias("standard_type"), F.when(~F.col("_e.log"), F.coalesce("_units", "_e.unit")).alias("units"), F.coalesce("_e.target", residual).alias("target"), F.col("_e.bao").alias("bao_endpoint"),
+        F.col("_e.log").alias("is_log_form"), confidence.alias("confidence"), F.col("_e.text").alias("matched"),
     )
-    return out.withColumn("match", F.when(at.isNotNull(), found)).drop("_clean", "_core", "_units", "_exact", "_alias", "_near")
+    return step(out, match=F.when(F.col("_at").isNotNull(), found)).select(*own, "match")

@@ -68,7 +68,9 @@ def build_measurements(rows: DataFrame, entities: DataFrame, legends: DataFrame,
     owner = entities.where("number IS NOT NULL").groupBy("doc", "number").agg(F.max("entity_seq").alias("entity_seq"))
     each = told.join(owner, ["doc", "number"]).select("doc", "table_id", "row_no", "number", "entity_seq", "number_col", F.posexplode(F.arrays_zip("header", "texts")).alias("col", "c"))
     each = each.where((F.col("col") != F.col("number_col")) & F.col("c.header").isNotNull() & F.col("c.texts").isNotNull()).select("*", F.col("c.header").alias("published_type"), F.col("c.texts").alias("text")).drop("c")
-    known = match_headers(each.select("published_type").distinct(), "published_type").where("match IS NOT NULL").select("published_type", "match.*")
+    # a generator and no filter: a filter's condition would carry the whole lexicon through every step above as a constraint
+    found = F.explode(F.filter(F.array("match"), lambda m: m.isNotNull()))
+    known = match_headers(each.select("published_type").distinct(), "published_type").select("published_type", found.alias("match")).select("published_type", "match.*")
     cells = each.join(known, "published_type")
     headers = cells.select("doc", F.col("published_type").alias("header"), "target").distinct()
     letters = legal_labels(headers, legends, "doc").withColumnsRenamed({"header": "published_type", "target": "_target"})

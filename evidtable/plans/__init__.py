@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import corpus, documents, measurements
+from . import assembly, corpus, documents, measurements
+
+_PARTS = (measurements, corpus, documents, assembly)
 
 
 def queries() -> dict:
-    return {**measurements.QUERIES, **corpus.QUERIES, **documents.QUERIES}
+    return {name: f for part in _PARTS for name, f in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**measurements.SQL, **corpus.SQL, **documents.SQL}
+    return {name: sql for part in _PARTS for name, sql in part.SQL.items()}
