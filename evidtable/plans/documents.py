@@ -87,7 +87,9 @@ _VIVO_OUT = ["", "mouse,AUC,Cmax", "", "rat,oral bioavailability", "", "xenograf
 
 @query(f"""SELECT doc_id, {listed(_VIVO_OUT)}[doc_id % 6 + 1] AS terms, CASE WHEN {listed(_VIVO_OUT)}[doc_id % 6 + 1] <> '' THEN 'named in the claims|in vivo data reported (' || replace({listed(_VIVO_OUT)}[doc_id % 6 + 1], ',', ', ') || ')' ELSE 'named in the claims' END AS reasons FROM documents""")
 def in_vivo_signal(spark: SparkSession, sf: str) -> DataFrame:
-    d = read(spark, sf, "documents").select("doc_id", prose.in_vivo_terms(pick(_VIVO, "doc_id")).alias("t"))
+    # the whole text, and far enough behind it that neither is the other's context, a line that says something
+    said = F.concat(F.coalesce("text", F.lit("")), F.lit(" " + "x" * 2 * prose.CONTEXT + " "), pick(_VIVO, "doc_id"))
+    d = read(spark, sf, "documents").select("doc_id", prose.in_vivo_terms(said).alias("t"))
     reasons = prose.investment_reasons(F.lit(False), F.lit(True), F.lit(None).cast("boolean"), F.col("t"))
     return d.select("doc_id", F.array_join("t", ",").alias("terms"), F.array_join(reasons, "|").alias("reasons"))
 
@@ -146,7 +148,11 @@ def dup_links(spark: SparkSession, sf: str) -> DataFrame:
     return tables.duplicate_links(k, "k", "doc_id", "doc_id").select("first", "other")
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq, l_returnflag <> 'R' AS numbered, left(md5(CAST(l_partkey AS VARCHAR)), 2) AS name FROM lineitem),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq) AS i FROM r WHERE NOT numbered), b AS (SELECT k, list(name) FILTER (numbered) AS names FROM r GROUP BY k),
+f(k, i, names, stay) AS (SELECT k, 0, coalesce(names, []), CAST([] AS BIGINT[]) FROM b UNION ALL SELECT f.k, o.i, CASE WHEN len(list_filter(f.names, lambda x: contains(x, o.name) OR contains(o.name, x))) > 0 THEN f.names ELSE list_append(f.names, o.name) END,
+  CASE WHEN len(list_filter(f.names, lambda x: contains(x, o.name) OR contains(o.name, x))) > 0 THEN f.stay ELSE list_append(f.stay, o.seq) END FROM f JOIN o ON o.k = f.k AND o.i = f.i + 1)
+SELECT k AS l_orderkey, seq FROM r WHERE numbered UNION ALL SELECT k, unnest(arg_max(stay, i)) FROM f GROUP BY k""")
 def dedupe_unnumbered(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     d = read(spark, sf, "lineitem").select("l_orderkey", F.row_number().over(w).alias("seq"), F.when(F.col("l_returnflag") != "R", F.col("l_linenumber")).alias("number"), F.substring(F.md5(F.col("l_partkey").cast("string")), 1, 2).alias("name"))
