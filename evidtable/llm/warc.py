@@ -4,7 +4,7 @@
 ``RECORDS_PER_FILE`` records, gzip), with revisit records for payloads that an earlier page has. ``read_archives``
 scans files in tasks: wherever the record magic stands, a candidate is emitted with the offset of the record that its
 length says comes next. A magic inside a payload is a candidate too, but no chain from the file's start leads to it:
-pointer jumping over (file, offset) doubles the distance in each round and keeps what is reachable.
+the offsets of a file meet again, and pointer jumping doubles the distance in each round and keeps what is reachable.
 
 Defined results: a null html is an empty payload; pages with equal payloads of at least ``MIN_REVISIT`` bytes revisit
 the smallest page id among them, every row with that id is a response; a page with a null id is always a response; a
@@ -17,12 +17,13 @@ payload there is, at most ``FILE_BYTES`` before compression, unless a single rec
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
-import math
 import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,17 +122,52 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     return map_arrow(files, work, "file string, offset long, successor long, type string, page string, refers string, said string, said_bytes long, digest string, n_bytes long")
 
 
+def chained(offset: np.ndarray, successor: np.ndarray) -> np.ndarray:
+    """Which of a file's candidates (sorted offsets) the chain from offset 0 reaches, by pointer jumping.
+
+    In each round every reached candidate reaches the one its pointer leads to, and every pointer jumps as far again,
+    so rounds follow the logarithm of the chain's length. A successor that is no candidate ends a chain.
+    """
+    n = len(offset)
+    to = np.searchsorted(offset, successor)
+    jump = np.append(np.where((to < n) & (offset[np.minimum(to, n - 1)] == successor), to, n), n)
+    reached = np.zeros(n + 1, bool)
+    reached[0] = offset[0] == 0
+    while (jump[:n] < n).any():
+        reached[jump[np.flatnonzero(reached[:n])]] = True
+        jump = jump[jump]
+    return reached[:n]
+
+
 def reachable(found: DataFrame) -> DataFrame:
-    """The rows of staged ``candidates`` that the chain from offset 0 of their file reaches."""
-    most = found.groupBy("file").count().agg(F.max("count")).first()[0]
-    if most is None:
-        return found
-    jumps = stage(found.alias("a").select("file", "offset", "successor").join(found.select("file", F.col("offset").alias("successor")), ["file", "successor"]).select("file", "offset", F.col("successor").alias("to")), "jumps")
-    known = found.where("offset = 0").select("file", "offset")
-    for n in range(max(1, math.ceil(math.log2(most)))):
-        known = stage(known.join(jumps, ["file", "offset"], "left").select("file", F.explode(F.array_compact(F.array("offset", "to"))).alias("offset")), f"reached{n}")
-        jumps = stage(jumps.select("file", "offset", F.col("to").alias("mid")).join(jumps.select("file", F.col("offset").alias("mid"), "to"), ["file", "mid"]).select("file", "offset", "to"), f"jumps{n}")
-    return found.join(known, ["file", "offset"])
+    """The rows of staged ``candidates`` that the chain from offset 0 of their file reaches. A file's offsets, 16 bytes each, meet in one task; nothing else does."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file: str | None = None
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def made() -> pa.RecordBatch:
+            offset, successor = (np.concatenate(x) for x in zip(*held, strict=True))
+            true = offset[chained(offset, successor)]
+            return pa.RecordBatch.from_arrays([pa.array([file] * len(true), pa.string()), pa.array(true, pa.int64())], names=["file", "offset"])
+
+        for b in batches:
+            names = b.column(0).to_pylist()
+            offset, successor = (b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            at = 0
+            while at < len(names):
+                end = bisect.bisect_right(names, names[at], at)
+                if names[at] != file and held:
+                    yield made()
+                    held = []
+                file = names[at]
+                held.append((offset[at:end], successor[at:end]))
+                at = end
+        if held:
+            yield made()
+
+    pointers = found.select("file", "offset", "successor").repartition("file").sortWithinPartitions("file", "offset")
+    return found.join(map_arrow(pointers, work, "file string, offset long"), ["file", "offset"])
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

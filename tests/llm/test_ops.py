@@ -255,6 +255,18 @@ def test_warc_rejects_magic_in_payloads(spark):
     assert got == {1: (n, "response", None), 2: (0, "response", None), 3: (0, "revisit", 2), 4: (n, "revisit", 1), None: (1, "response", None)}
 
 
+def test_chains_are_followed_by_jumping():
+    rng = random.Random(7)
+    for _ in range(200):
+        offset = sorted(rng.sample(range(rng.choice([0, 1]), 400), rng.randint(1, 60)))
+        successor = [rng.choice([x for x in offset if x > o] or [o + 1]) if rng.random() < 0.8 else o + rng.randint(1, 9) for o in offset]
+        want, at = set(), 0
+        while at in offset:
+            want.add(at)
+            at = successor[offset.index(at)]
+        assert {o for o, ok in zip(offset, warc.chained(np.array(offset), np.array(successor)), strict=True) if ok} == want
+
+
 def test_warc_survives_lengths_and_ids(spark):
     far = "a\r\n\r\nWARC/1.1\r\nX: y\r\nContent-Length: {}\r\n\r\nb"
     html = [far.format(n) for n in ("9" * 20, "9" * 18, "9" * 5000, "-1", "٣", "7")] + ["x", "x", "x", None, "é" * 5, ""]
