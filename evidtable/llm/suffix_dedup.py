@@ -8,7 +8,7 @@ a group, the suffixes and the reversed prefixes are sorted by deep-shallow sorti
 ``SHALLOW`` bytes, blind tries for the groups that agree further. The longest common prefixes of both orders tell which
 ``LENGTH``-byte strings that hold the anchor occur elsewhere. Comparisons are on bytes; hashes only bring together.
 
-A hash that stands at more than ``HOT`` places is not sorted in one task: ``peel`` takes one member of its group as pivot,
+A hash that stands at too many places (``HOT_SHARE``) is not sorted in one task: ``peel`` takes one member of its group as pivot,
 settles what every member shares with it, and deals the rest anew by the first byte in which a member leaves the pivot,
 to the left and to the right (the quicksort's partition, as a shuffle), until groups are small.
 
@@ -41,8 +41,9 @@ GRAM = 128
 WORDS = 50
 WORD_GRAM = 16
 SHALLOW = 32
-#: A hash at more places than these is dealt by ``peel``.
-HOT = 512
+#: A hash with more than one in HOT_SHARE of all places of shared hashes is dealt by ``peel``, but none with up to HOT_LEAST, and any with
+#: more than HOT_MOST places (so many surroundings are some 8 MB): a bound on a task's share and on its memory, whatever the size.
+HOT_SHARE, HOT_LEAST, HOT_MOST = 200, 512, 8192
 #: Surroundings that a task remembers as already sent; beyond, it forgets them and sends some again.
 REMEMBERED = 100_000
 #: Groups of at most so many different surroundings are compared by pairs; larger ones by class at each shift.
@@ -511,9 +512,8 @@ def _against_pivots(rows: DataFrame) -> DataFrame:
     return map_arrow(rows, work, _ROW_SCHEMA + ", lo long, hi long")
 
 
-def peel(rows: DataFrame, hot: int | None = None) -> list[DataFrame]:
+def peel(rows: DataFrame, hot: int) -> list[DataFrame]:
     """Surroundings in groups of any size as staged tables of ``_ROW``: groups of at most ``hot`` rows, and known spans."""
-    hot = HOT if hot is None else hot
     columns = list(_ROW)
     size = F.when(F.col("h").bitwiseAND(F.lit(1)) == 0, F.lit(SCALES[0].size)).otherwise(F.lit(SCALES[1].size)).cast("long")
     now = stage(rows.select("*", F.greatest(F.lit(0), size - F.length("right")).alias("lo"), F.length("left").cast("long").alias("hi")), "hot0")
@@ -566,7 +566,9 @@ def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
     rows = stage(_all_anchors(docs), "anchors")
     texts = stage(rows.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.first("hashes").alias("hashes"), F.first("again").alias("again")), "texts")
     once = texts.select(F.explode("hashes").alias("h"), F.lit(1).alias("n")).union(texts.select(F.explode("again").alias("h"), F.lit(1).alias("n")))
-    shared = stage(once.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h", (F.col("n") > HOT).alias("hot")), "shared")
+    shared = stage(once.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"), "shared")
+    hot = min(HOT_MOST, max(HOT_LEAST, (shared.agg(F.sum("n")).first()[0] or 0) // HOT_SHARE))
+    shared = shared.select("h", (F.col("n") > hot).alias("hot"))
     met = texts.select("digest", "first_id", F.explode("hashes").alias("h")).join(shared, "h")
     wanted = met.groupBy("digest", "first_id").agg(F.collect_list(F.when(~F.col("hot"), F.col("h"))).alias("wanted"), F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"))
     own = docs.select("doc_id", "text", _digest().alias("digest")).withColumnRenamed("digest", "d")
@@ -574,7 +576,7 @@ def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
     sharing = stage(own.join(wanted, on).select("digest", "text", "wanted", "hot"), "sharing")
     met = _surroundings(sharing.where(F.size("wanted") > 0), "wanted")
     if not shared.where("hot").isEmpty():
-        for part in peel(_surroundings(sharing.where(F.size("hot") > 0), "hot")):
+        for part in peel(_surroundings(sharing.where(F.size("hot") > 0), "hot"), hot):
             met = met.union(part)
     met = met.repartition("h").sortWithinPartitions("h")
     spans = stage(_spans(met).groupBy("digest").agg(F.collect_list(F.struct("kind", "start", "stop")).alias("spans")), "spans")

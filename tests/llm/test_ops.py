@@ -130,13 +130,15 @@ def cut_by_brute_force(rows):
 
 @pytest.mark.parametrize("hot", [512, 2])
 def test_suffix_dedup(docs, monkeypatch, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "HOT_LEAST", hot)
+    monkeypatch.setattr(suffix_dedup, "HOT_MOST", hot)
     assert Counter(map(tuple, suffix_dedup.dedup(docs).collect())) == cut_by_brute_force([r[:2] for r in corpus()])
 
 
 def test_suffix_dedup_of_a_passage_with_many_neighbours(spark, monkeypatch):
     """Near copies and one passage between different words: no key holds more than the bound, and results are brute force's."""
-    monkeypatch.setattr(suffix_dedup, "HOT", 8)
+    monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 8)
+    monkeypatch.setattr(suffix_dedup, "HOT_MOST", 8)
     rng = random.Random(6)
     own = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
     near = own(160).split()
