@@ -36,7 +36,7 @@ _MIX |= np.uint64(1)
 STEP = 4096
 #: Texts of a group that one task compares; texts of a larger group that meet all others at once.
 BIG = 2000
-PIVOTS = 64
+PIVOTS = 512
 
 
 def sketch(shingles: np.ndarray) -> list[int]:
