@@ -9,7 +9,8 @@ the similarity.
 
 A group of more than ``BIG`` texts isn't held in one task. It is dealt into chunks; in each round ``PIVOTS`` of its texts go
 to all its chunks and are compared with every text there, until each text outside the group's largest cluster has been
-a pivot: then only pairs inside one cluster are left out.
+a pivot: then only pairs inside one cluster are left out. A chunk gives a spanning forest of what it found, and so does
+a round, so links are fewer than texts however many pivots a text is near to.
 """
 
 from __future__ import annotations
@@ -131,17 +132,25 @@ def _within(met: DataFrame, shingles_of: Callable[[str | None], np.ndarray], sim
 
 
 def _against(met: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Links (a: pivot, b) from rows (label, chunk, member, id, shingles: bytes), a chunk's pivots before its members."""
+    """Links (a: pivot, b) from rows (label, chunk, member, id, shingles: bytes), a chunk's pivots before its members.
+
+    Of all links in a chunk a spanning forest: a link between texts that earlier ones join already is left out.
+    """
     a, b = similar
 
+    def top(root: dict[int, int], i: int) -> int:
+        while (up := root.setdefault(i, i)) != i:
+            root[i] = i = root[up]
+        return i
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, hashes, owner, size, fresh = None, [], [], [], [], False
+        now, ids, hashes, owner, size, fresh, root = None, [], [], [], [], False, {}
         for batch in slices(batches):
             out_a, out_b = [], []
             for label, chunk, member, i, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = np.frombuffer(raw, "<u8")
                 if (label, chunk) != now:
-                    now, ids, hashes, owner, fresh = (label, chunk), [], [], [], False
+                    now, ids, hashes, owner, fresh, root = (label, chunk), [], [], [], False, {}
                 if not member:
                     hashes.append(own)
                     ids.append(i)
@@ -156,8 +165,12 @@ def _against(met: DataFrame, similar: tuple[int, int]) -> DataFrame:
                 n = hi - lo
                 at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else lo
                 both = np.bincount(owner[at], minlength=len(ids))
+                own_top = top(root, i)
                 for k in np.flatnonzero((a + b) * both >= a * (size + len(own))):
-                    if ids[k] != i:
+                    pivot = top(root, ids[k])
+                    if pivot != own_top:
+                        root[own_top] = pivot
+                        own_top = pivot
                         out_a.append(ids[k])
                         out_b.append(i)
             if out_a:
@@ -189,8 +202,9 @@ def _by_pivots(met: DataFrame, shingles_of: Callable[[str | None], np.ndarray],
         pivots = every.join(chosen, ["label", "id"]).select("label", chunks.alias("chunk"), F.lit(False).alias("member"), "id", "shingles")
         against = pivots.unionByName(members.join(chosen.select("label").distinct(), "label")).repartition("label", "chunk").sortWithinPartitions("label", "chunk", "member", "id")
         made = stage(_against(against, similar), f"found{n}")
-        found = made if found is None else found.unionByName(made)
-        clusters = every.select("label", "id").join(min_labels(found).select(F.col("node").alias("id"), F.col("label").alias("cluster")), "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
+        # each text's link to its cluster's first stands for all links so far
+        found = min_labels(made if found is None else found.unionByName(made)).where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+        clusters = every.select("label", "id").join(found.select(F.col("b").alias("id"), F.col("a").alias("cluster")), "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
         largest = clusters.groupBy("label", "cluster").agg(F.count("*").alias("k")).groupBy("label").agg(F.max_by("cluster", F.struct("k", "cluster")).alias("cluster"))
         done = chosen if done is None else done.unionByName(chosen)
         left = stage(clusters.join(largest, ["label", "cluster"], "left_anti").join(done, ["label", "id"], "left_anti").select("label", "id"), f"left{n}")

@@ -83,3 +83,15 @@ def test_first_of_each_group_stays(spark, monkeypatch, big, pivots):
         best.setdefault(g, []).append((ids[i] is None, ids[i] or 0))
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out.collect()) == sorted(min(x) for x in best.values())
     assert {group[r["id"]] for r in out.collect()} == set(group)
+
+
+def test_links_of_pivots_are_fewer_than_texts(spark):
+    texts = {i: (i % 2, np.arange(1000 * (i % 2) + i, 1000 * (i % 2) + i + 400, dtype=np.uint64)) for i in range(60)}  # two chains of near sets
+    rows = [(1, 0, m, i, bytearray(s.astype("<u8").tobytes())) for m in (False, True) for i, (_, s) in texts.items() if m or i < 24]
+    met = spark.createDataFrame(rows, "label long, chunk long, member boolean, id long, shingles binary").coalesce(1).sortWithinPartitions("label", "chunk", "member", "id")
+    links = near_copies._against(met, near_copies.SIMILAR).collect()
+    assert len(links) == len(texts) - 2  # all pairs with a pivot would be over a thousand
+    root = {i: i for i in texts}
+    for a, b in links:
+        root = {i: root[a] if r == root[b] else r for i, r in root.items()}
+    assert len(set(root.values())) == 2 and all(root[i] == root[i % 2] for i in texts)
