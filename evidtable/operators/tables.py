@@ -124,6 +124,33 @@ def iou(a: str, b: str) -> Column:
     return F.when((area(a) > 0) & (area(b) > 0), inter / (area(a) + area(b) - inter)).otherwise(F.lit(0.0))
 
 
+def agreeing(left: DataFrame, right: DataFrame, keys: Sequence[str], a: str, b: str, least: float) -> DataFrame:
+    """Pairs of rows of one key whose boxes ``a`` and ``b`` (structs x0, y0, x1, y1) have an IoU of ``least`` (above 0) or more.
+
+    In either direction the sides p and q of such a pair share at least ``least / (1 + least)`` of p + q: neither is shorter
+    than ``least`` times the other, and their middles are at most ``(p + q) * (1 - least) / (1 + least) / 2`` apart. So a
+    left box lies in one cell, by the octaves of its sides and by its middle in tiles of a quarter octave, and a right box
+    meets the cells within these bounds only.
+    """
+    t = least * (1 - 1e-9)  # wider than rounding
+
+    def solid(df: DataFrame, box: str) -> DataFrame:
+        return df.where((F.col(f"{box}.x1") > F.col(f"{box}.x0")) & (F.col(f"{box}.y1") > F.col(f"{box}.y0")))
+
+    side = lambda box, c: (F.col(f"{box}.{c}1") - F.col(f"{box}.{c}0")).cast("double")
+    middle = lambda box, c: (F.col(f"{box}.{c}1") + F.col(f"{box}.{c}0")).cast("double") / 2
+    octave = lambda p: F.floor(F.log2(p)).cast("int")
+    tile = lambda at, level: F.floor(at / F.pow(F.lit(2.0), level - 2))
+    one, many = solid(left, a), solid(right, b)
+    for c in "xy":
+        one = one.withColumn(f"_l{c}", octave(side(a, c))).withColumn(f"_t{c}", tile(middle(a, c), F.col(f"_l{c}")))
+        p, at, level = side(b, c), middle(b, c), F.col(f"_l{c}")
+        far = (F.least(F.pow(F.lit(2.0), level + 1), p / t) + p) * ((1 - t) / (1 + t) / 2)
+        many = many.withColumn(f"_l{c}", F.explode(F.sequence(octave(p * t), octave(p / t)))).withColumn(f"_t{c}", F.explode(F.sequence(tile(at - far, level), tile(at + far, level))))
+    met = one.join(many.hint("merge"), [*keys, "_lx", "_ly", "_tx", "_ty"])
+    return met.where(iou(a, b) >= least).drop("_lx", "_ly", "_tx", "_ty")
+
+
 def overlapping(left: DataFrame, right: DataFrame, keys: Sequence[str], a: str, b: str, tile: int = 64) -> DataFrame:
     """Pairs of rows of one key whose boxes ``a`` and ``b`` (structs x0, y0, x1, y1) share area.
 

@@ -168,7 +168,7 @@ def iou_agreement(spark: SparkSession, sf: str) -> DataFrame:
     box = lambda k, wide: F.expr(f"struct({k} % 97 AS x0, {k} % 89 AS y0, {k} % 97 + {wide} AS x1, {k} % 89 + 20 AS y1)")
     a = read(spark, sf, "part").select("p_partkey", (F.col("p_size") % 7).cast("long").alias("page"), box("p_partkey", "p_size").alias("a"))
     b = read(spark, sf, "supplier").select("s_suppkey", (F.col("s_suppkey") % 7).alias("page"), box("s_suppkey", "25").alias("b"))
-    return tables.overlapping(a, b, ["page"], "a", "b").select("p_partkey", "s_suppkey", F.round(tables.iou("a", "b"), 6).alias("iou")).where("iou >= 0.5")
+    return tables.agreeing(a, b, ["page"], "a", "b", 0.5).select("p_partkey", "s_suppkey", F.round(tables.iou("a", "b"), 6).alias("iou"))
 
 
 @query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS k FROM orders), c AS (SELECT c_custkey, CASE WHEN c_custkey % 10 <> 3 THEN c_custkey END AS number FROM customer)

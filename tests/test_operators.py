@@ -59,3 +59,23 @@ def test_claims_are_one_to_one(spark):
     n = spark.createDataFrame([("d", 7, "k", None, "methylbenzene"), ("d", 8, None, None, "methylbenzenee")], "doc string, entity_seq long, full_key string, skeleton string, name string")
     out = {r["example_seq"]: (r["entity_seq"], r["method"]) for r in linking.claim(linking.precedence_candidates(e, n)).collect()}
     assert out == {1: (7, "full"), 2: (8, "name")}
+
+
+def test_agreeing_boxes_equal_all_pairs(spark):
+    rng = random.Random(8)
+    box = lambda s: (x := rng.uniform(-40, 40) * s, y := rng.uniform(-20, 20) * s, x + rng.uniform(-1, 30) * s, y + rng.choice([0, 8, 16, 20]) * s)
+    some = lambda n: [(i, i % 2, box(rng.choice([0.01, 1, 1, 1, 900]))) for i in range(n)]
+    left, right = some(400), some(300)
+    left += [(1000 + i, p, b) for i, p, b in right[:40]] + [(2000, 0, (0.0, 0.0, 8.0, 8.0))]
+    right += [(2000, 0, (0.0, 0.0, 8.0, 4.0)), (2001, 0, (0.0, 0.0, 16.0, 8.0)), (2002, 0, (0.0, 0.0, 8.0, 3.999))]  # exactly a half, exactly a half, just less
+
+    def iou(a, b):
+        i = max(min(a[2], b[2]) - max(a[0], b[0]), 0) * max(min(a[3], b[3]) - max(a[1], b[1]), 0)
+        return i / ((a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - i)
+
+    good = lambda b: b[2] > b[0] and b[3] > b[1]
+    frame = lambda rows, k: spark.createDataFrame(rows, f"{k} long, page long, {k}_box struct<x0: double, y0: double, x1: double, y1: double>")
+    for least in (0.5, 0.2, 0.9, 1.0):
+        want = sorted((i, j) for i, p, a in left for j, q, b in right if p == q and good(a) and good(b) and iou(a, b) >= least)
+        got = tables.agreeing(frame(left, "a"), frame(right, "b"), ["page"], "a_box", "b_box", least).select("a", "b").collect()
+        assert sorted(map(tuple, got)) == want and want
