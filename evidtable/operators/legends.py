@@ -99,14 +99,14 @@ def legends(docs: DataFrame, doc: str, text: str) -> DataFrame:
     known = known.withColumn("_percent", F.first("units").over(assay.orderBy("seq")) == "%")
     order = F.when(F.col("_percent"), -F.col("i.lower")).otherwise(F.col("i.upper"))
     known = known.withColumn("score", (F.count("*").over(assay) - F.row_number().over(assay.orderBy(F.asc_nulls_last(order), "seq")) + 1).cast("int"))
-    both = known.join(summaries(docs, doc, text), [doc, "label"], "left")
+    both = known.join(summaries(docs, doc, text).hint("merge"), [doc, "label"], "left")
     return both.select(doc, "assay", "label", "i.lower", "i.upper", "units", "i.lower_inclusive", "i.upper_inclusive", collapse(F.col("sentence")).alias("definition"), discrepancy(F.col("i"), F.col("s"), F.col("units")).alias("discrepancy"), "score", "seq")
 
 
 def legal_labels(headers: DataFrame, known: DataFrame, doc: str) -> DataFrame:
     """``headers`` (doc, header, target) with the labels of the first assay that holds the target or is held by the header; none gives an empty array."""
     assays = known.groupBy(doc, "assay").agg(F.min("seq").alias("_at"), F.transform(F.array_sort(F.collect_list(F.struct("seq", "label"))), lambda x: x["label"]).alias("labels"))
-    h, a = headers.alias("h"), assays.alias("a")
+    h, a = headers.alias("h"), assays.alias("a").hint("merge")
     target, key = F.upper(F.coalesce("h.target", F.lit(""))), F.upper("a.assay")
     met = h.join(a, (F.col(f"h.{doc}") == F.col(f"a.{doc}")) & (((target != "") & F.contains(key, target)) | F.contains(F.upper("h.header"), key)), "left")
     first = met.groupBy(F.col(f"h.{doc}").alias(doc), F.col("h.header").alias("header"), F.col("h.target").alias("target")).agg(F.min_by("a.labels", "a._at").alias("labels"))

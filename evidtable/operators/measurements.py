@@ -62,11 +62,12 @@ def build_measurements(rows: DataFrame, entities: DataFrame, legends: DataFrame,
 
     Rows: as for ``activity_rows``; entities: doc, entity_seq, number (the last entity of a number counts); legends: as
     ``legends.legends`` gives them, with a document column doc. A row whose number isn't accepted or names no entity
-    measures nothing; blank cells are left out; a cell that can't be standardized is a refusal.
+    measures nothing; blank cells are left out; a cell that can't be standardized is a refusal. What grows with the documents
+    is merged: Spark's size check doesn't see how many entities and labels a document has. Only the headers are left to it.
     """
     told = activity_rows(rows).where("accepted")
     owner = entities.where("number IS NOT NULL").groupBy("doc", "number").agg(F.max("entity_seq").alias("entity_seq"))
-    each = told.join(owner, ["doc", "number"]).select("doc", "table_id", "row_no", "number", "entity_seq", "number_col", F.posexplode(F.arrays_zip("header", "texts")).alias("col", "c"))
+    each = told.join(owner.hint("merge"), ["doc", "number"]).select("doc", "table_id", "row_no", "number", "entity_seq", "number_col", F.posexplode(F.arrays_zip("header", "texts")).alias("col", "c"))
     each = each.where((F.col("col") != F.col("number_col")) & F.col("c.header").isNotNull() & F.col("c.texts").isNotNull()).select("*", F.col("c.header").alias("published_type"), F.col("c.texts").alias("text")).drop("c")
     # a generator and no filter: a filter's condition would carry the whole lexicon through every step above as a constraint
     found = F.explode(F.filter(F.array("match"), lambda m: m.isNotNull()))
@@ -74,11 +75,11 @@ def build_measurements(rows: DataFrame, entities: DataFrame, legends: DataFrame,
     cells = each.join(known, "published_type")
     headers = cells.select("doc", F.col("published_type").alias("header"), "target").distinct()
     letters = legal_labels(headers, legends, "doc").withColumnsRenamed({"header": "published_type", "target": "_target"})
-    cells = cells.join(letters, (cells["doc"] == letters["doc"]) & (cells["published_type"] == letters["published_type"]) & cells["target"].eqNullSafe(letters["_target"]), "left").select(cells["*"], "labels")
+    cells = cells.join(letters.hint("merge"), (cells["doc"] == letters["doc"]) & (cells["published_type"] == letters["published_type"]) & cells["target"].eqNullSafe(letters["_target"]), "left").select(cells["*"], "labels")
     cells = cells.withColumn("raw", normalize_bin_cell(F.trim(F.coalesce("text", F.lit(""))), F.coalesce("labels", F.array().cast("array<string>"))))
     # a label that two assays of a document have decodes to nothing
     decoded = legends.groupBy("doc", F.upper("label").alias("_key")).agg(F.count("*").alias("_n"), F.first(F.struct("label", "lower", "upper", "units", "score")).alias("bin")).where("_n = 1").drop("_n")
-    cells = cells.withColumn("_key", bin_key(F.col("raw"))).join(decoded, ["doc", "_key"], "left")
+    cells = cells.withColumn("_key", bin_key(F.col("raw"))).join(decoded.hint("merge"), ["doc", "_key"], "left")
     out = build(cells)
     off = F.coalesce(F.upper("target") == F.lit((off_target or "").upper()), F.lit(False)) if off_target else F.lit(False)
     keep = ["doc", "table_id", "row_no", "number", "entity_seq", "col", "published_type", "standard_type", "target", "raw"]

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from evidtable.operators import linking, scoring, tables
+from evidtable.operators import legends, linking, measurements, scoring, tables
 
 
 def test_accept_equals_the_loop(spark):
@@ -79,3 +79,11 @@ def test_agreeing_boxes_equal_all_pairs(spark):
         want = sorted((i, j) for i, p, a in left for j, q, b in right if p == q and good(a) and good(b) and iou(a, b) >= least)
         got = tables.agreeing(frame(left, "a"), frame(right, "b"), ["page"], "a_box", "b_box", least).select("a", "b").collect()
         assert sorted(map(tuple, got)) == want and want
+
+
+def test_measurements_broadcast_nothing_but_headers(spark):
+    rows = spark.createDataFrame([], "doc long, table_id int, row_no long, header array<string>, texts array<string>")
+    known = legends.legends(rows.select("doc", F.lit("").alias("text")), "doc", "text")
+    for out in measurements.build_measurements(rows, spark.createDataFrame([], "doc long, entity_seq long, number long"), known):
+        joins = [x for x in out._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in x]
+        assert joins and not [x for x in joins if "Broadcast" in x and "[published_type" not in x]
