@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,17 +25,18 @@ def precedence_candidates(examples: DataFrame, entities: DataFrame, threshold: f
     """(example_seq, entity_seq, method, score): full key, name similarity, skeleton.
 
     Examples: doc, example_seq, full_key, skeleton, name; entities the same with entity_seq. Names meet only within
-    a document and the bounds that a ratio of ``threshold`` implies for lengths, in blocks of length.
+    a document and the bounds that a ratio of ``threshold`` implies for lengths, in blocks of length. Both sides grow
+    with the input and are merged: Spark's size check takes few columns of a small file for a small table.
     """
     e, n = examples.alias("e"), entities.alias("n")
     pick = lambda method, score, df: df.select("doc", "example_seq", "entity_seq", F.lit(method).alias("method"), score.cast("double").alias("score"))
-    full = pick("full", F.lit(1.0), e.join(n.select("doc", "entity_seq", "full_key"), ["doc", "full_key"]))
-    skeleton = pick("skeleton", F.lit(1.0), e.join(n.select("doc", "entity_seq", "skeleton"), ["doc", "skeleton"]))
+    full = pick("full", F.lit(1.0), e.join(n.select("doc", "entity_seq", "full_key").hint("merge"), ["doc", "full_key"]))
+    skeleton = pick("skeleton", F.lit(1.0), e.join(n.select("doc", "entity_seq", "skeleton").hint("merge"), ["doc", "skeleton"]))
     a = examples.select("doc", "example_seq", normalized_name(F.col("name")).alias("a")).where("a <> ''")
     b = entities.select("doc", "entity_seq", normalized_name(F.col("name")).alias("b")).where("b <> ''")
     low = threshold / (2 - threshold)  # ratio <= 2 * shorter / (both lengths)
     reach = F.expr(f"sequence(cast(ceil(length(a) * {low}) as int), cast(floor(length(a) / {low}) as int))")
-    met = a.withColumn("len", F.explode(reach)).join(b.withColumn("len", F.length("b")), ["doc", "len"])
+    met = a.withColumn("len", F.explode(reach)).join(b.withColumn("len", F.length("b")).hint("merge"), ["doc", "len"])
     # a ratio of ``threshold`` leaves at most this share of both lengths unmatched, and no edit distance is longer
     met = met.where(F.levenshtein("a", "b") <= F.floor((1 - threshold) * (F.length("a") + F.length("b")) + 1e-9))
     named = met.withColumn("score", similarity("a", "b")).where(F.col("score") >= threshold)
@@ -45,22 +49,35 @@ def claim(candidates: DataFrame) -> DataFrame:
     ``agreed``: the methods whose own best pick among the entities still free is the one taken.
     """
     rank = {"full": 0, "name": 1, "skeleton": 2}
-
-    def greedy(pdf):  # noqa: ANN001, ANN202
-        taken, rows = set(), []
-        for seq, own in pdf.sort_values("example_seq").groupby("example_seq", sort=True):
-            free = own[~own.entity_seq.isin(taken)]
-            if len(free):
-                picks = {m: min(g.itertuples(), key=lambda r: (-r.score, r.entity_seq)) for m, g in free.groupby("method")}
-                best = picks[min(picks, key=rank.get)]
-                taken.add(best.entity_seq)
-                agreed = sorted((m for m, p in picks.items() if p.entity_seq == best.entity_seq), key=rank.get)
-                rows.append((best.doc, seq, best.entity_seq, best.method, agreed))
-        import pandas as pd
-
-        return pd.DataFrame(rows, columns=["doc", "example_seq", "entity_seq", "method", "agreed"])
-
-    return candidates.groupBy("doc").applyInPandas(greedy, "doc string, example_seq long, entity_seq long, method string, agreed array<string>")
+    names = ["doc", "example_seq", "entity_seq", "method", "agreed"]
+    schema = pa.schema(list(zip(names, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())), strict=True)))
+
+    def greedy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by document and example, a method's better picks first."""
+        now, taken, picks = (None, None), set(), {}
+
+        def pick() -> tuple:
+            best = picks[method := min(picks, key=rank.get)]
+            taken.add(best)
+            return *now, best, method, sorted((m for m, p in picks.items() if p == best), key=rank.get)
+
+        for batch in batches:
+            rows = []
+            for doc, example, entity, method in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (doc, example) != now:
+                    if picks:
+                        rows.append(pick())
+                    if doc != now[0]:
+                        taken = set()
+                    now, picks = (doc, example), {}
+                if method not in picks and entity not in taken:
+                    picks[method] = entity
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+        if picks:
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(pick(), schema, strict=True)], schema=schema)
+
+    dealt = candidates.repartition("doc").sortWithinPartitions("doc", "example_seq", F.desc("score"), "entity_seq")
+    return dealt.select("doc", "example_seq", "entity_seq", "method").mapInArrow(greedy, "doc string, example_seq long, entity_seq long, method string, agreed array<string>")
 
 
 def channels(rows: DataFrame, from_name: str, from_image: str) -> Column:

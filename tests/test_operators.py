@@ -61,6 +61,34 @@ def test_claims_are_one_to_one(spark):
     assert out == {1: (7, "full"), 2: (8, "name")}
 
 
+def test_claims_equal_the_loop(spark):
+    rng = random.Random(4)
+    rows = {(f"d{rng.randrange(40)}", rng.randrange(6), rng.randrange(6), rng.choice(["full", "name", "skeleton"])): rng.choice([0.9, 0.95, 1.0]) for _ in range(900)}
+    want, rank = set(), ["full", "name", "skeleton"]
+    for doc in {k[0] for k in rows}:
+        taken = set()
+        for seq in range(6):
+            picks = {}
+            for m in rank:
+                free = [(-s, e) for (d, x, e, how), s in rows.items() if (d, x, how) == (doc, seq, m) and e not in taken]
+                picks |= {m: min(free)[1]} if free else {}
+            if picks:
+                m = next(iter(picks))
+                taken.add(picks[m])
+                want.add((doc, seq, picks[m], m, ",".join(x for x in picks if picks[x] == picks[m])))
+    c = spark.createDataFrame([(*k, s) for k, s in rows.items()], "doc string, example_seq long, entity_seq long, method string, score double")
+    assert {(*r[:4], ",".join(r[4])) for r in linking.claim(c).collect()} == want
+
+
+def test_links_and_joins_broadcast_no_growing_table(spark):
+    kind = "doc string, {} long, full_key string, skeleton string, name string, local_id string, number long, key_from_name string, key_from_image string"
+    e, n = (spark.createDataFrame([], kind.format(k)) for k in ("example_seq", "entity_seq"))
+    links = linking.claim(linking.precedence_candidates(e, n))
+    for out in (links,):
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_agreeing_boxes_equal_all_pairs(spark):
     rng = random.Random(8)
     box = lambda s: (x := rng.uniform(-40, 40) * s, y := rng.uniform(-20, 20) * s, x + rng.uniform(-1, 30) * s, y + rng.choice([0, 8, 16, 20]) * s)
