@@ -98,12 +98,13 @@ def full_join(entities: DataFrame, activity: DataFrame, examples: DataFrame, lin
 
     Entities: doc, entity_seq, local_id, number, key_from_name, key_from_image; activity: doc, number, seq (the last row of
     a number counts); examples: doc, example_seq, local_id, full_key; links: those of ``claim``. Gives doc, entity_seq,
-    local_id, number, full_key, example_id, in_examples, join_method, join_channels; a null number joins nothing.
+    local_id, number, full_key, example_id, in_examples, join_method, join_channels; a null number joins nothing. All sides
+    grow with the input and are merged.
     """
     active = activity.where("number IS NOT NULL").select("doc", "number").distinct().withColumn("_active", F.lit(True))
     told = examples.select("doc", "example_seq", F.col("local_id").alias("example_id"), F.col("full_key").alias("_example_key"))
-    linked = links.join(told, ["doc", "example_seq"]).select("doc", "entity_seq", "example_id", "method", "agreed")
-    rows = entities.join(active, ["doc", "number"], "left").join(linked, ["doc", "entity_seq"], "left")
+    linked = links.join(told.hint("merge"), ["doc", "example_seq"]).select("doc", "entity_seq", "example_id", "method", "agreed")
+    rows = entities.join(active.hint("merge"), ["doc", "number"], "left").join(linked.hint("merge"), ["doc", "entity_seq"], "left")
     base = F.when(F.col("_active"), channels(rows, "key_from_name", "key_from_image")).otherwise(F.array().cast("array<string>"))
     more = F.when(F.col("method").isNotNull(), F.concat(F.array(F.lit("example_name")), "agreed", F.when(F.size("agreed") > 1, F.array(F.lit("methods_agree"))).otherwise(F.array().cast("array<string>"))))
     method = F.nullif(F.concat_ws("+", F.when(F.col("_active"), "compound_number"), "method"), F.lit(""))
@@ -111,7 +112,7 @@ def full_join(entities: DataFrame, activity: DataFrame, examples: DataFrame, lin
         "doc", "entity_seq", "local_id", "number", F.col("key_from_name").alias("full_key"), "example_id", F.col("method").isNotNull().alias("in_examples"), method.alias("join_method"),
         F.concat(base, F.coalesce(more, F.array().cast("array<string>"))).alias("join_channels"),
     )
-    rest = examples.join(links.select("doc", "example_seq"), ["doc", "example_seq"], "left_anti")
+    rest = examples.join(links.select("doc", "example_seq").hint("merge"), ["doc", "example_seq"], "left_anti")
     null = lambda t: F.lit(None).cast(t)
     tail = rest.select(
         "doc", null("long").alias("entity_seq"), "local_id", null(entities.schema["number"].dataType).alias("number"), "full_key", F.col("local_id").alias("example_id"), F.lit(True).alias("in_examples"),

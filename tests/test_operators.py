@@ -84,7 +84,7 @@ def test_links_and_joins_broadcast_no_growing_table(spark):
     kind = "doc string, {} long, full_key string, skeleton string, name string, local_id string, number long, key_from_name string, key_from_image string"
     e, n = (spark.createDataFrame([], kind.format(k)) for k in ("example_seq", "entity_seq"))
     links = linking.claim(linking.precedence_candidates(e, n))
-    for out in (links,):
+    for out in (links, linking.full_join(n, n.select("doc", "number", F.col("entity_seq").alias("seq")), e, links)):
         plan = out._jdf.queryExecution().sparkPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
