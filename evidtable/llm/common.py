@@ -66,16 +66,37 @@ def keep_columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
 
+def _drawn(links: DataFrame) -> DataFrame:
+    """Links with the same components as ``links`` (a < b, distinct), drawn together while they far outnumber their larger ends.
+
+    A node keeps the link to its smallest neighbour m below it; a link to another one, a, becomes (m, a). Links never
+    grow in number, and where each larger end has one link they are a forest.
+    """
+    n = links.count()
+    while True:
+        least = stage(links.groupBy("b").agg(F.min("a").alias("m")), "least")
+        if 4 * n <= 5 * least.count():
+            return links
+        ends = F.explode(F.array("a", "b"))
+        drawn = links.join(least, "b").select("m", ends.alias("z")).where("m <> z").select(F.col("m").alias("a"), F.col("z").alias("b")).distinct()
+        links, was = stage(drawn, "drawn"), n
+        n = links.count()
+        if 4 * n > 3 * was:
+            return links
+
+
 def min_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components: (node, label) for every node of ``edges`` (a, b: long), label the smallest node reachable.
 
-    Each round takes the smallest label among the neighbours (partial minima before the shuffle), then jumps to the
-    label's own label, so the rounds follow the logarithm of a component's diameter. Every round is a staged table:
-    a join reads plain scans on both sides, so adaptive execution can split a hot neighbour.
+    First links are drawn to the smallest neighbour, so the rounds join about one link for each node, however many
+    there were. Each round takes the smallest label among the neighbours (partial minima before the shuffle), then
+    jumps to the label's own label, so the rounds follow the logarithm of a component's diameter. Every round is a
+    staged table: a join reads plain scans on both sides, so adaptive execution can split a hot neighbour.
     """
     # both directions from one reading of a link: were links made twice, the two readings could differ in what spans a group
+    drawn = _drawn(stage(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"))
     ways = F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    both = stage(edges.where("a <> b").select(ways.alias("e")).select("e.a", "e.b").distinct(), "edges")
+    both = stage(drawn.select(ways.alias("e")).select("e.a", "e.b"), "edges")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels0")
     for n in range(1, max_rounds + 1):
         near = (

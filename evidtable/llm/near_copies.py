@@ -9,8 +9,8 @@ the similarity.
 
 A group of more than ``BIG`` texts isn't held in one task. It is dealt into chunks; in each round ``PIVOTS`` of its texts go
 to all its chunks and are compared with every text there, until each text outside the group's largest cluster has been
-a pivot: then only pairs inside one cluster are left out. A chunk gives a spanning forest of what it found, and so does
-a round, so links are fewer than texts however many pivots a text is near to.
+a pivot: then only pairs inside one cluster are left out. A chunk gives a spanning forest of what it found, and a
+round only adds what joins clusters of earlier ones, so links are fewer than texts however many pivots a text is near to.
 """
 
 from __future__ import annotations
@@ -191,20 +191,22 @@ def _by_pivots(met: DataFrame, shingles_of: Callable[[str | None], np.ndarray],
     chunk = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.col("n") / BIG).cast("long"))
     members = every.select("label", chunk.alias("chunk"), F.lit(True).alias("member"), "id", "shingles")
     chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(1), F.col("n") / BIG).cast("long") - 1))
-    found = done = None
+    clusters, done = every.select("label", "id", F.col("id").alias("cluster")), None  # a cluster is named by its first
     left = every.select("label", "id")  # texts outside their group's largest cluster that haven't been a pivot
     for n in range(1 << 20):
         first = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
         chosen = stage(left.withColumn("k", first).where(F.col("k") <= PIVOTS).select("label", "id"), f"pivots{n}")
         if chosen.isEmpty():
-            return found
+            return clusters.where("id <> cluster").select(F.col("cluster").alias("a"), F.col("id").alias("b"))
         # only groups that still have pivots are read again
         pivots = every.join(chosen, ["label", "id"]).select("label", chunks.alias("chunk"), F.lit(False).alias("member"), "id", "shingles")
         against = pivots.unionByName(members.join(chosen.select("label").distinct(), "label")).repartition("label", "chunk").sortWithinPartitions("label", "chunk", "member", "id")
         made = stage(_against(against, similar), f"found{n}")
-        # each text's link to its cluster's first stands for all links so far
-        found = min_labels(made if found is None else found.unionByName(made)).where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
-        clusters = every.select("label", "id").join(found.select(F.col("b").alias("id"), F.col("a").alias("cluster")), "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
+        if done is not None:  # only what joins clusters: what earlier rounds have joined isn't labelled again
+            a, b = (clusters.select(F.col("id").alias(x), F.col("cluster").alias(f"of_{x}")) for x in "ab")
+            made = made.join(a, "a").join(b, "b").where("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+        merged = min_labels(made).select(F.col("node").alias("cluster"), F.col("label").alias("into"))
+        clusters = stage(clusters.join(merged, "cluster", "left").select("label", "id", F.coalesce("into", "cluster").alias("cluster")), f"clusters{n}")
         largest = clusters.groupBy("label", "cluster").agg(F.count("*").alias("k")).groupBy("label").agg(F.max_by("cluster", F.struct("k", "cluster")).alias("cluster"))
         done = chosen if done is None else done.unionByName(chosen)
         left = stage(clusters.join(largest, ["label", "cluster"], "left_anti").join(done, ["label", "id"], "left_anti").select("label", "id"), f"left{n}")

@@ -114,28 +114,44 @@ def shard_links(fps: np.ndarray) -> np.ndarray:
     return out
 
 
+def _first_reached(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows the first row that the pairs (x, y) join it to."""
+    root = np.arange(n)
+    while True:
+        was, low = root.copy(), np.minimum(root[x], root[y])
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        root = root[root]
+        if np.array_equal(root, was):
+            return root
+
+
 def _links(tree: np.ndarray, shard: np.ndarray, fps: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of rows sorted by (tree, shard); whole shards only."""
+    """Spanning links of rows sorted by (tree, shard); whole shards only."""
     new = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1]) | (tree[1:] != tree[:-1])]))
     sizes = np.diff(np.append(new, len(shard)))
     size_of = np.repeat(sizes, sizes)
     group = np.repeat(np.arange(len(new)), sizes)
-    a, b = [], []
+    none = np.zeros(0, np.int64)
+    a, b, x, y = [], [], [none], [none]
     small = size_of <= SMALL_SHARD
     for lag in range(1, min(SMALL_SHARD, int(sizes.max(initial=1)))):
         i = np.flatnonzero(small[:-lag] & (group[:-lag] == group[lag:]) & (size_of[:-lag] > lag))
         if not i.size:
             continue
         i = i[np.bitwise_count(fps[i] ^ fps[i + lag]) <= RADIUS]
-        a.append(ids[i])
-        b.append(ids[i + lag])
+        x.append(i)
+        y.append(i + lag)
+    root = _first_reached(np.concatenate(x), np.concatenate(y), len(ids))
+    i = np.flatnonzero(root != np.arange(len(ids)))
+    a.append(ids[root[i]])
+    b.append(ids[i])
     for s, n in zip(new[sizes > SMALL_SHARD], sizes[sizes > SMALL_SHARD], strict=False):
         root = shard_links(fps[s : s + n])
         i = np.flatnonzero(root != np.arange(n))
         a.append(ids[s + root[i]])
         b.append(ids[s + i])
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+    return np.concatenate(a), np.concatenate(b)
 
 
 def links(distinct: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from evidtable.llm import near_copies, simhash
+from evidtable.llm import common, near_copies, simhash
 
 
 def jaccard(a, b):
@@ -95,3 +95,62 @@ def test_links_of_pivots_are_fewer_than_texts(spark):
     for a, b in links:
         root = {i: root[a] if r == root[b] else r for i, r in root.items()}
     assert len(set(root.values())) == 2 and all(root[i] == root[i % 2] for i in texts)
+
+
+@pytest.fixture
+def staged(monkeypatch):
+    """Counts the rows of each staged table: (tag, rows)."""
+    seen, stage = [], common.stage
+
+    def counted(df, tag):
+        out = stage(df, tag)
+        seen.append((tag, out.count()))
+        return out
+
+    for module in (common, near_copies, simhash):
+        monkeypatch.setattr(module, "stage", counted)
+    return seen
+
+
+def test_labels_join_about_one_link_for_each_node(spark, staged):
+    rng = random.Random(2)
+    pairs = [(i, j) for i in range(60) for j in range(i)]  # every pair of a group
+    pairs += [(rng.randrange(100, 140), k) for k in range(140, 400) for _ in range(20)]  # many to many, as bands link them
+    pairs += [(1000 - i, 999 - i) for i in range(40)] + [(2000, k) for k in range(1500, 1600)] + [(7000, 7000)]  # a chain, a hub above all
+    out = {r["node"]: r["label"] for r in common.min_labels(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    root = {i: i for p in pairs[:-1] for i in p}
+    for a, b in pairs:
+        low, high = sorted((root.get(a, a), root.get(b, b)))
+        root = {i: low if r == high else r for i, r in root.items()}
+    assert out == root
+    assert dict(staged)["edges"] <= 2.5 * len(root)  # both ways; all links would be over 14 for each node
+
+
+def test_links_of_a_small_shard_span_it():
+    rng = np.random.default_rng(4)
+    near = np.uint64(0) | (np.uint64(1) << np.arange(20, dtype=np.uint64))  # every two differ in 2 bits
+    path = np.cumsum(np.uint64(3) << (np.uint64(2) * np.arange(9, dtype=np.uint64)))  # only next but one are near
+    fps = np.concatenate([near, path, rng.integers(0, 2**63, 15, dtype=np.uint64)])
+    shard = np.repeat([1, 2, 3], [20, 9, 15])
+    ids = rng.permutation(len(fps)) + 100
+    a, b = simhash._links(np.zeros(len(fps), np.int64), shard, fps, ids)
+    assert len(a) == 19 + 8
+    root = {int(i): int(i) for i in ids}
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        root = {i: root[x] if r == root[y] else r for i, r in root.items()}
+    assert [len({root[int(i)] for i in ids[shard == k]}) for k in (1, 2, 3)] == [1, 1, 15]
+
+
+def test_rounds_of_pivots_label_only_new_links(spark, staged, monkeypatch):
+    """Many rounds over a cluster and texts far from it, which all become pivots: the cluster is labelled once."""
+    monkeypatch.setattr(near_copies, "BIG", 30)
+    monkeypatch.setattr(near_copies, "PIVOTS", 10)
+    sets = [" ".join(str(k) for k in range(i, 400 + i)) for i in range(50)] + [" ".join(str(1000 * i + k) for k in range(400)) for i in range(9, 59)]
+    met = spark.createDataFrame([(0, len(sets), i, t) for i, t in enumerate(sets)], "label long, n long, id long, text string")
+    links = near_copies._by_pivots(met, lambda x: np.array(sorted(map(int, x.split())), np.uint64), near_copies.SIMILAR).collect()
+    root = {i: i for i in range(100)}
+    for a, b in links:
+        root = {i: root[a] if r == root[b] else r for i, r in root.items()}
+    assert len(links) == 49 and {root[i] for i in range(50)} == {0} and all(root[i] == i for i in range(50, 100))
+    rounds = [n for tag, n in staged if tag == "edges"]
+    assert len(rounds) >= 5 and sum(rounds) < 2 * len(sets)  # over 600 if each round labelled all links again
