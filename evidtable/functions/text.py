@@ -65,7 +65,7 @@ def page_ranges(c: Column) -> Column:
 
 def plain_integer(c: Column) -> Column:
     """The first run of digits as a number."""
-    return F.regexp_extract(c, "([0-9]+)", 1).try_cast("int")
+    return F.when(c.rlike("[0-9]"), F.regexp_extract(c, "([0-9]+)", 1).try_cast("int"))  # a cast that fails is slow
 
 
 def first_integer(c: Column) -> Column:

@@ -49,10 +49,11 @@ def parse_cell(raw: Column) -> Column:
     """struct(relation, value, text, is_blank) of a published cell."""
     body = F.trim(F.coalesce(raw, F.lit("")))
     leading = "^(" + "|".join(t for t, _ in RELATIONS) + ")"
-    relation = lookup(F.regexp_extract(body, leading, 1), dict(RELATIONS), F.lit("="))
-    rest = F.trim(F.regexp_replace(body, leading, ""))
+    sign = F.regexp_extract(body, leading, 1)
+    relation = lookup(sign, dict(RELATIONS), F.lit("="))
+    rest = F.trim(F.substring(body, F.length(sign) + 1, F.length(body)))
     number = F.regexp_extract(rest, NUMBER, 1)
-    value = F.regexp_replace(number, ",", "").try_cast("double")
+    value = F.when(number != "", F.replace(number, F.lit(","), F.lit("")).try_cast("double"))  # a cast that fails is slow
     blank = body.isin(*BLANKS)
     return F.struct(
         F.when(blank, F.lit("=")).otherwise(relation).alias("relation"), F.when(~blank, value).alias("value"), F.when(~blank & (number == ""), rest).alias("text"), blank.alias("is_blank")
@@ -71,8 +72,8 @@ def pdc50(value: Column, relation: Column) -> Column:
     return F.when((relation == "=") & (value > 0), 9 - F.log10(value))
 
 
-def standardize(value: Column, relation: Column, units: Column, is_log: Column) -> Column:
-    """struct(value, units, relation); a null struct refuses. Log forms flip the relation."""
+def standardize(value: Column, relation: Column, units: Column, is_log: Column, canonical: bool = False) -> Column:
+    """struct(value, units, relation); a null struct refuses. Log forms flip the relation. Units that are ``canonical`` are not read again."""
     log = F.struct(F.pow(F.lit(10.0), 9 - value).alias("value"), F.lit("nM").alias("units"), lookup(relation, INVERTED, F.lit("=")).alias("relation"))
 
     def own(unit: Column) -> Column:
@@ -80,15 +81,15 @@ def standardize(value: Column, relation: Column, units: Column, is_log: Column)
         found = F.struct(F.when(molar, value * lookup(unit, TO_NM)).otherwise(value).alias("value"), F.when(molar, F.lit("nM")).otherwise(unit).alias("units"), relation.alias("relation"))
         return F.when((unit == "%") | molar, found)
 
-    return F.when(value.isNull(), F.lit(None)).when(is_log, log).otherwise(let(normalize_units(units), own))
+    return F.when(value.isNull(), F.lit(None)).when(is_log, log).otherwise(own(units) if canonical else let(normalize_units(units), own))
 
 
 def bin_fields(lower: Column, upper: Column, units: Column) -> Column:
     """struct(lower, upper, units, relation, direction) of an interval; no midpoint is ever made."""
-    molar = units.isin(*TO_NM)
+    molar, factor = units.isin(*TO_NM), lookup(units, TO_NM)
     one_upper, one_lower = upper.isNotNull() & lower.isNull(), lower.isNotNull() & upper.isNull()
     return F.struct(
-        F.when(molar, to_nm(lower, units)).otherwise(lower).alias("lower"), F.when(molar, to_nm(upper, units)).otherwise(upper).alias("upper"), F.when(molar, F.lit("nM")).otherwise(units).alias("units"),
+        F.when(molar, lower * factor).otherwise(lower).alias("lower"), F.when(molar, upper * factor).otherwise(upper).alias("upper"), F.when(molar, F.lit("nM")).otherwise(units).alias("units"),
         F.when(one_upper, F.lit("<")).when(one_lower, F.lit(">")).otherwise(F.lit("=")).alias("relation"), F.when(one_upper, F.lit("upper_bound")).when(one_lower, F.lit("lower_bound")).alias("direction"),
     )
 
@@ -101,10 +102,10 @@ def bin_key(text: Column) -> Column:
 
 def normalize_bin_cell(cell: Column, labels: Column) -> Column:
     """A cell as the one legend letter it holds; verbatim where it holds digits, another capital, or none or several labels."""
-    letters = F.array_distinct(F.filter(F.split(cell, ""), lambda c: c.rlike("[A-Z]")))
-    found = F.array_intersect(F.array_distinct(F.filter(F.split(F.upper(cell), ""), lambda c: c.rlike("[A-Z]"))), labels)
-    sure = (F.size(labels) > 0) & ~cell.rlike("[0-9]") & (F.size(found) == 1) & (F.size(F.array_except(letters, found)) == 0)
-    return F.when(sure, F.element_at(found, 1)).otherwise(cell)
+    found = F.filter(F.array_distinct(labels), lambda label: F.contains(F.upper(cell), label) & label.rlike(r"^[A-Z]\z"))
+    others = F.replace(F.regexp_replace(cell, "[^A-Z]", ""), F.get(found, F.lit(0)), F.lit(""))
+    sure = (F.size(labels) > 0) & ~cell.rlike("[0-9]") & (F.size(found) == 1) & (others == "")
+    return F.when(sure, F.get(found, F.lit(0))).otherwise(cell)
 
 
 def decade_gap(a: Column, b: Column) -> Column:

@@ -86,6 +86,11 @@ def split_units(cleaned: Column) -> tuple[Column, Column]:
     return core, units
 
 
+def step(df, **made: Column):  # noqa: ANN001, ANN201
+    """``df`` with more columns behind a generator: the optimizer would merge the steps and repeat each expression in every later one."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in made.items()]))))
+
+
 def match_headers(rows, header: str):  # noqa: ANN001, ANN201
     """``rows`` with ``match``: struct(standard_type, units, target, bao_endpoint, is_log_form, confidence, matched); null for a header that nothing names.
 
@@ -93,11 +98,6 @@ def match_headers(rows, header: str):  # noqa: ANN001, ANN201
     similarity, and each different header is compared once per Python worker.
     """
     own = rows.columns
-
-    def step(df, **made: Column):  # noqa: ANN202
-        """``df`` with more columns behind a generator: the optimizer would merge the steps and repeat each expression in every later one."""
-        return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in made.items()]))))
-
     cleaned = collapse(F.col(header))
     exact = F.when(F.col("_clean") != "", lookup(fold(F.col("_clean")), {text.lower(): i for i, (text, *_) in enumerate(HEADERS)}))
     bounded = lambda alias: rf"(?i)(?<![A-Za-z0-9])\Q{alias}\E(?![A-Za-z0-9])"

@@ -115,3 +115,45 @@ def test_measurements_broadcast_nothing_but_headers(spark):
     for out in measurements.build_measurements(rows, spark.createDataFrame([], "doc long, entity_seq long, number long"), known):
         joins = [x for x in out._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in x]
         assert joins and not [x for x in joins if "Broadcast" in x and "[published_type" not in x]
+
+
+def test_measurements_read_rows_once(spark):
+    from evidtable.plans import assembly
+
+    plan = assembly.measurement_build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "+- " in x]
+    assert plan.count("l_returnflag") and "ArrowEvalPython" not in plan
+    assert len([x for x in plan.splitlines() if "FileScan parquet" in x and "l_returnflag" in x]) == 1  # headers and labels are not found by reading all rows again
+    assert exchanges and not [x for x in exchanges if "number" in x]  # entities meet the rows where both are dealt by document
+
+
+def test_measurements_equal_with_either_form_of_legends_and_many_headers(spark, monkeypatch):
+    both = "having WIZ EC50 less than 1 nM are level A. having WIZ EC50 greater than 5 nM are level C."
+    texts = [(1, both), (2, both), (3, both + " having GSPT1 DC50 less than 9 uM are level A."), (4, "nothing"), (5, None)]
+    header = ["x", "Compound No", "WIZ EC50 (uM)", "GSPT1 DC50 nM", None]
+    rows = [(d, 1, i, header, ["9", n, wiz, dc, "7"]) for d, _ in texts for i, (n, wiz, dc) in enumerate([("1", " Aa", ">1,200"), ("2", "C", "-"), ("3", "2.5e1", "A"), ("2", "A", "3"), ("", "A", "3"), ("4", "B", "n.d."), ("6", "A", "1")])]
+    rows = spark.createDataFrame(rows, "doc long, table_id int, row_no long, header array<string>, texts array<string>")
+    entities = spark.createDataFrame([(d, 10 * n + k, n) for d, _ in texts for n in (1, 2, 3, 4, 5) for k in (1, 2)] + [(9, 1, 1), (1, 99, None)], "doc long, entity_seq long, number long")
+    docs = spark.createDataFrame(texts, "doc long, text string")
+
+    def figures(known):
+        measured, refused = measurements.build_measurements(rows, entities, known, "GSPT1")
+        return sorted(map(str, measured.collect())), sorted(map(str, refused.collect())), measured, refused
+
+    want = figures(legends.legends(docs, "doc", "text"))
+    assert figures(legends.gathered(docs, "doc", "text"))[:2] == want[:2]
+    monkeypatch.setattr(measurements, "HEADERS_AT_ONCE", 0)
+    assert figures(legends.gathered(docs, "doc", "text"))[:2] == want[:2]
+    got = {(r["doc"], r["row_no"], r["col"]): (r["entity_seq"], r["raw"], r["value"], r["units"], r["relation"], r["lower"], r["upper"], r["bin_score"]) for r in want[2].collect()}
+    one = {(1, 0, 2): (12, "A", None, "nM", "<", None, 1.0, 2), (1, 0, 3): (12, ">1,200", 1200.0, "nM", ">", None, None, None), (1, 1, 2): (22, "C", None, "nM", ">", 5.0, None, 1), (1, 2, 2): (32, "2.5e1", 25000.0, "nM", "=", None, None, None)}
+    assert {k: v for k, v in got.items() if k[0] == 1 and k != (1, 2, 3)} == one and got[1, 2, 3][1:2] == ("A",)
+    # two assays of document 3 have an A: it decodes to nothing; documents 4 and 5 have no legend
+    assert sorted(k for k in got if k[0] == 3) == [(3, 0, 3), (3, 1, 2), (3, 2, 2)] and sorted(k for k in got if k[0] > 3) == [(d, i, c) for d in (4, 5) for i, c in ((0, 3), (2, 2))]
+    assert sorted((r["row_no"], r["col"]) for r in want[3].collect() if r["doc"] == 1) == [(5, 2), (5, 3)]
+
+
+def test_number_columns_equal_header_by_header(spark):
+    headers = [["x", "Compound #"], ["compound\x00no", "Compd no"], ["a\x00b", None, "compound number"], ["comp", "ound no"], [None, "Cmpd. No."], [], None, ["x\ny", "z", "(Compound no.)", "compound no"]]
+    rows = spark.createDataFrame([(i, 1, 1, h, ["5", "6", "7"]) for i, h in enumerate(headers)], "doc long, table_id int, row_no long, header array<string>, texts array<string>")
+    got = measurements.activity_rows(rows).orderBy("doc").select("number_col", "number", "accepted").collect()
+    assert list(map(tuple, got)) == [(at, 5 + at, True) for at in (1, 1, 2, 0, 0, 0, 0, 2)]
