@@ -1,6 +1,6 @@
 """Measurements out of table cells: one measurement or one refusal for each cell that says something.
 
-Cells, headers, entities and legends meet by joins; a header is matched once, however many rows stand under it.
+Rows, entities and legends meet within their document; a header is matched once, however many rows stand under it.
 """
 
 from __future__ import annotations
